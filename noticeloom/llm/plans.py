@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import broadcast_if_small
 from ..sources.tables import table
-from . import leaks, lookalike, quality
+from . import leaks, lookalike, names, quality
+
+WITHHELD = "氏名非公表"
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +20,26 @@ def _texts(spark: SparkSession, folder: str) -> DataFrame:
     return fields.unionByName(sections)
 
 
+def _variants(spark: SparkSession, folder: str) -> DataFrame:
+    persons = table(spark, folder, "gold_records").select(F.lit("person").alias("kind"), F.col("person_key").alias("name")).where(F.col("name") != WITHHELD)
+    items = table(spark, folder, "knowledge_items").select("category", "item_key", "canonical_value")
+    columns = items.where("category = 'layout' and canonical_value = 'organization'").select(F.col("item_key").alias("key")).distinct()
+    fields = table(spark, folder, "raw_records").select("layout_id", F.explode("raw_fields").alias("f")).select(F.concat_ws(".", "layout_id", "f.name").alias("key"), F.col("f.value").alias("name"))
+    units = fields.join(broadcast_if_small(columns), "key").select(F.lit("organisation").alias("kind"), "name")
+    # a dictionary of ranks, which may stand before a name
+    ranks = [r.item_key for r in items.where("category = 'rank'").select("item_key").distinct().toLocalIterator()]
+    return names.variants(persons.unionByName(units), titles=ranks)
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.pairs(_variants(spark, folder))
+
+
+def p1_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every spelling that has variants, with the smallest spelling of its person or organisation."""
+    return _variants(spark, folder)
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.unified(_texts(spark, folder)).where("stand_in").select("table_name", "row_id", "field_name").distinct()
 
@@ -45,7 +68,7 @@ def p8_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.statistics(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_canonical, p6_found, p6_leaked_items, p8_found, p8_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_spellings, p3_found, p3_canonical, p6_found, p6_leaked_items, p8_found, p8_statistics)}
 
 _W = quality.WORD.replace("'", "''")
 ORACLES = {
