@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import broadcast_if_small
 from ..sources.tables import table
-from . import leaks, lookalike, names, quality
+from . import leaks, lookalike, mixture, names, quality
 
 WITHHELD = "氏名非公表"
 
@@ -59,6 +59,16 @@ def p6_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max("share").alias("share"))
 
 
+def p7_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """The drawn documents with their sizes and numbers of copies."""
+    return mixture.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).drawn
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares reached beside the targets."""
+    return mixture.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).report
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality.kinds(table(spark, folder, "documents"), table(spark, folder, "doc_labels"))
     return scored.where("kind <> 'prose'").select("doc_id", "kind").distinct()
@@ -68,7 +78,7 @@ def p8_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return quality.statistics(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_spellings, p3_found, p3_canonical, p6_found, p6_leaked_items, p8_found, p8_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_spellings, p3_found, p3_canonical, p6_found, p6_leaked_items, p7_mixture, p7_shares, p8_found, p8_statistics)}
 
 _W = quality.WORD.replace("'", "''")
 ORACLES = {

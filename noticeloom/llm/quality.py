@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import trees
@@ -40,22 +40,31 @@ def statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shar
     Null and empty texts have 0 of everything. Repeated rows each come out; other columns are ignored.
     """
     common = common_words(docs, text, share)
-    t = F.coalesce(F.col(text), F.lit(""))
-    words = F.regexp_extract_all(t, F.lit(WORD), F.lit(0))
-    dense = F.regexp_replace(t, BLANKS, "")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.regexp_replace(x, BLANKS, "")) > 0)
-    df = docs.select(F.col(doc_id).alias("doc_id"), words.alias("words"), dense.alias("dense"), lines.alias("lines"))
-    ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0))
+    df = docs.select(F.col(doc_id).alias("doc_id"), words.alias("words"), *(c.alias(name) for name, c in measures(F.col(text)).items()))
     return df.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
-        ratio(F.aggregate("words", F.lit(0), lambda a, w: a + F.length(w)), F.size("words")).alias("mean_word_length"),
-        ratio(F.length(F.regexp_replace("dense", LETTERS, "")), F.length("dense")).alias("symbol_share"),
-        ratio(F.size(F.filter("lines", lambda x: F.regexp_replace(x, r"[ \t\r\x{3000}]+$", "").rlike(END))), F.size("lines")).alias("line_end_share"),
-        ratio(F.size(F.filter("words", lambda w: w.isin(common))) if common else F.lit(0), F.size("words")).alias("common_word_share"),
+        _ratio(F.aggregate("words", F.lit(0), lambda a, w: a + F.length(w)), F.size("words")).alias("mean_word_length"),
+        "symbol_share",
+        "line_end_share",
+        _ratio(F.size(F.filter("words", lambda w: w.isin(common))) if common else F.lit(0), F.size("words")).alias("common_word_share"),
     )
 
 
+def _ratio(a: Column, b: Column) -> Column:
+    return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+
+
+def measures(text: Column) -> dict[str, Column]:
+    """Statistics that need nothing but the text: symbol_share and line_end_share."""
+    t = F.coalesce(text, F.lit(""))
+    dense = F.regexp_replace(t, BLANKS, "")
+    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.regexp_replace(x, BLANKS, "")) > 0)
+    ended = F.filter(lines, lambda x: F.regexp_replace(x, r"[ \t\r\x{3000}]+$", "").rlike(END))
+    return {"symbol_share": _ratio(F.length(F.regexp_replace(dense, LETTERS, "")), F.length(dense)), "line_end_share": _ratio(F.size(ended), F.size(lines))}
+
+
 _WORDS = re.compile("[㐀-鿿々]+|[ぁ-ゟ]+|[ァ-ヿ]+|[A-Za-zÀ-ɏ]+|[0-9]+")
 _MARK = re.compile(r"\s*(?:[-*+•・※→☐■□○●◎▪◦‣–—>]+\s*(?:\[[ xX]?\]\s*)?|(?:No\.|§|第)?\s*[(（\[]?\d{1,3}[.)）\]:、．]\s*|No\.\d+\s|[(（]\w{1,4}[)）]\s*|(?:[a-zA-Z]|[ivxIVX]{1,4}|[ア-ン]|[一二三四五六七八九十]{1,2})[ .)、．]\s*)(?=\S)")
 _ENDS = tuple("。．.!?！？」』")
