@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Scratch, broadcast_if_small
+from ..runtime import Scratch, apart, broadcast_if_small
 
 # Pairs of signs that look the same, other script first.
 LATIN = dict(zip("аеорсухіјѕһԁԛԝкАВЕКМНОРСТХУЅІЈΑΒΕΖΗΙΚΜΝΟΡΤΥΧονα", "aeopcyxijshdqwkABEKMHOPCTXYSIJABEZHIKMNOPTYXova"))
@@ -78,6 +78,9 @@ def doubtful(folded: str) -> list[str]:
     return [w for w in dict.fromkeys(_WORD.findall(folded)) if _DOUBT.search(w)] if not folded.isascii() else []
 
 
+_PLAIN = re.compile(rf"(?<![^\W_])[{''.join(sorted(set(LATIN.values())))}]+(?![^\W_])")
+
+
 def look(word: str) -> str:
     """What `word` looks like; equal for words that differ by look-alikes only."""
     return "".join(_LOOK.get(c, c) for c in word)
@@ -126,17 +129,20 @@ class Trie:
     def search(self, word: str, budget: float = 0.0, other: float = 1.0) -> tuple[float, int, str] | None:
         """(cost, -count, spelling) of the cheapest, then most frequent spelling within `budget`: equal signs,
         look-alikes and ignorables cost nothing, other substitutions, insertions and deletions `other` each."""
-        states = {(): (0.0, self.root)}
+        states = {id(self.root): (0.0, self.root)}
+
+        def reach(states: dict, node: dict, cost: float) -> bool:
+            """Whether a state is new or cheaper than before."""
+            if cost <= budget and (id(node) not in states or states[id(node)][0] > cost):
+                states[id(node)] = (cost, node)
+                return True
+            return False
 
         def skipped(states: dict) -> dict:
-            todo = list(states.items())
+            todo = list(states.values()) if other <= budget else []
             while todo:
-                path, (cost, node) = todo.pop()
-                if cost + other <= budget:
-                    for c, child in node.items():
-                        if c and ((*path, c) not in states or states[*path, c][0] > cost + other):
-                            states[*path, c] = (cost + other, child)
-                            todo.append(((*path, c), states[*path, c]))
+                cost, node = todo.pop()
+                todo += [states[id(child)] for c, child in node.items() if c and reach(states, child, cost + other)]
             return states
 
         states = skipped(states)
@@ -144,18 +150,17 @@ class Trie:
             if _invisible(c):
                 continue
             after: dict = {}
-            free = {c, _LOOK.get(c, c)}
-            for path, (cost, node) in states.items():
-                if budget:
-                    steps = [(x, child, 0.0 if x in free or _LOOK.get(x, x) in free else other) for x, child in node.items() if x]
-                    if cost + other <= budget and (path not in after or after[path][0] > cost + other):
-                        after[path] = (cost + other, node)
-                else:
-                    shown = _LOOK.get(c, c)
-                    steps = [(x, node[x], 0.0) for x in {c, shown, *_SAME.get(shown, "")} if x in node]
-                for x, child, price in steps:
-                    if cost + price <= budget and ((*path, x) not in after or after[*path, x][0] > cost + price):
-                        after[*path, x] = (cost + price, child)
+            shown = _LOOK.get(c, c)
+            alike = {c, shown, *_SAME.get(shown, "")}
+            for cost, node in states.values():
+                for x in alike:
+                    if x in node:
+                        reach(after, node[x], cost)
+                if cost + other <= budget:
+                    reach(after, node, cost + other)
+                    for x, child in node.items():
+                        if x and x not in alike:
+                            reach(after, child, cost + other)
             states = skipped(after)
             if not states:
                 return None
@@ -170,7 +175,9 @@ for _c, _v in _LOOK.items():
 
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        found = [(w, look(w), by_table(w) == w) for t in pdf.text if t for w in doubtful(fold(t))]
+        folded = [fold(t) for t in pdf.text if t]
+        found = [(w, look(w), by_table(w) == w) for t in folded for w in doubtful(t)]
+        found += [(w, w, True) for t in folded for w in set(_PLAIN.findall(t))]  # Latin words that another script can show
         yield pd.DataFrame(found, columns=["word", "look", "sound"])
 
 
@@ -209,10 +216,12 @@ def replacements(texts: DataFrame, scratch: Scratch) -> DataFrame:
 def unified(texts: DataFrame, text: str = "text") -> DataFrame:
     """All rows of `texts` with `canonical`, the text in its one form, and `stand_in`, whether it held a stand-in.
 
-    Null stays null and holds none; other columns are kept. Repeated rows each come out. Whole texts are used, and the
-    vocabulary is that of all rows.
+    Null stays null and holds none; other columns are kept, ones named canonical or stand_in with _in. Repeated rows each
+    come out. Whole texts are used, and the vocabulary is that of all rows.
     """
     scratch = Scratch(texts.sparkSession)
+    names = dict(zip(texts.columns, apart(texts, ["canonical", "stand_in"]).columns))
+    texts, text = texts.toDF(*names.values()), names[text]
     plain = texts.select(F.col(text).alias("text"))
     words = replacements(plain, scratch)
 

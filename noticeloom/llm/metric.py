@@ -3,7 +3,7 @@
 Every string belongs to the cell of its nearest pivot, divided into rings by the distance to it. Whoever may have a
 partner in a cell also visits it: with d the distance to a pivot p and d0 that to the own pivot, a partner within r that
 belongs to p lies in a ring k with |k - d| <= r and k <= d0 + r, by the triangle inequality. Inside a ring, candidates
-share a string left after at most r deletions, and the edit distance itself decides.
+share what is left after at most r deletions (long strings: a segment), and the edit distance itself decides.
 """
 
 from __future__ import annotations
@@ -22,13 +22,15 @@ from ..runtime import Scratch
 PIVOT_SAMPLE, PIVOTS = 3000, 192
 #: A pivot fits into one machine word.
 LONGEST_PIVOT = 60
+#: Strings longer than this are met by segments, whose number does not grow with them.
+LONG = 48
 
 
 def distances(pivots: list[str], strings: list[str]) -> np.ndarray:
     """Edit distances, one row for each string and one column for each pivot, by bit-parallel rows (Myers)."""
     out = np.zeros((len(strings), len(pivots)), np.int32)
     order = np.argsort([len(s) for s in strings], kind="stable")
-    for part in np.array_split(order, max(1, len(order) // 8192)):
+    for part in _parts(order, [len(strings[i]) for i in order]):
         texts = [strings[i] for i in part]
         lengths = np.array([len(t) for t in texts])
         wide = int(lengths.max(initial=0))
@@ -57,6 +59,15 @@ def distances(pivots: list[str], strings: list[str]) -> np.ndarray:
     return out
 
 
+def _parts(order: np.ndarray, lengths: list[int], rows: int = 8192, cells: int = 2_000_000) -> Iterator[np.ndarray]:
+    """Runs of strings of rising length, of bounded size together."""
+    begin = 0
+    for i in range(1, len(order) + 1):
+        if i == len(order) or i - begin >= rows or (i - begin + 1) * lengths[i] > cells:
+            yield order[begin:i]
+            begin = i
+
+
 def choose_pivots(sample: list[str], most: int = PIVOTS, near: int = 2) -> list[str]:
     """Farthest-first: each pivot is the string farthest from those chosen, until all lie within `near`."""
     sample = [s for s in sample if 0 < len(s) <= LONGEST_PIVOT]
@@ -70,9 +81,23 @@ def choose_pivots(sample: list[str], most: int = PIVOTS, near: int = 2) -> list[
     return chosen
 
 
-def _left(text: str, radius: int) -> set[str]:
-    """What is left of `text` after at most `radius` deletions."""
-    return {"".join(c for i, c in enumerate(text) if i not in gone) for k in range(radius + 1) for gone in combinations(range(len(text)), k)}
+def _keys(text: str, radius: int, member: bool) -> set[str]:
+    """Keys of which two strings within the radius share one. Short strings: what is left after at most `radius` deletions.
+    Long ones: one of radius + 1 segments of the member is untouched and lies at most `radius` away in the visitor."""
+    keys = set()
+    if len(text) <= LONG + radius:
+        keys |= {"".join(c for i, c in enumerate(text) if i not in gone) for k in range(radius + 1) for gone in combinations(range(len(text)), k)}
+    if len(text) > LONG:
+        for length in {len(text)} if member else range(max(LONG + 1, len(text) - radius), len(text) + radius + 1):
+            cuts = [length * i // (radius + 1) for i in range(radius + 2)]
+            for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+                keys |= {f"{length}/{i}/{text[lo + shift : hi + shift]}" for shift in ((0,) if member else range(-radius, radius + 1)) if lo + shift >= 0 and hi + shift <= len(text)}
+    elif not member:  # a longer member may be just above
+        for length in range(LONG + 1, len(text) + radius + 1):
+            cuts = [length * i // (radius + 1) for i in range(radius + 2)]
+            for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+                keys |= {f"{length}/{i}/{text[lo + shift : hi + shift]}" for shift in range(-radius, radius + 1) if lo + shift >= 0 and hi + shift <= len(text)}
+    return keys
 
 
 def radius_join(strings: DataFrame, radius: int = 1, sample: int = PIVOT_SAMPLE, pivots: int = PIVOTS, scratch: Scratch | None = None) -> DataFrame:
@@ -108,14 +133,17 @@ def radius_join(strings: DataFrame, radius: int = 1, sample: int = PIVOT_SAMPLE,
                 d = np.array(pdf["d"].tolist(), int)[:, ps]
                 there = (np.abs(d - ks) <= radius) & (ks <= pdf["ring"].to_numpy()[:, None] + radius)
                 for s, own, ring, places in zip(pdf["s"], pdf["pivot"], pdf["ring"], there):
-                    rest = _left(s, radius)
-                    rows += [(int(ps[i]), int(ks[i]), x, s, bool(ps[i] == own and ks[i] == ring)) for i in np.flatnonzero(places) for x in rest]
+                    visit, stay = _keys(s, radius, False), _keys(s, radius, True)
+                    for i in np.flatnonzero(places):
+                        home = ps[i] == own and ks[i] == ring
+                        rows += [(int(ps[i]), int(ks[i]), x, s, False) for x in visit]
+                        rows += [(int(ps[i]), int(ks[i]), x, s, True) for x in (stay if home else ())]
             yield pd.DataFrame(rows, columns=["pivot", "ring", "left", "s", "member"])
 
     # a name crosses the exchange as a hash of cell and remainder; the strings themselves are compared afterwards
     visits = placed.mapInPandas(come, "pivot int, ring int, left string, s string, member boolean").select(F.xxhash64("pivot", "ring", "left").alias("cell"), "s", "member")
     visits = scratch.keep(visits)
     members = visits.where("member").select("cell", F.col("s").alias("x"))
-    met = members.join(visits.select("cell", F.col("s").alias("y")), "cell").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    met = members.join(visits.where("not member").select("cell", F.col("s").alias("y")), "cell").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     near = met.withColumn("distance", F.levenshtein("a", "b", radius)).where(F.col("distance").between(0, radius))
     return near.distinct()

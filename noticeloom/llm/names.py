@@ -34,6 +34,8 @@ _KANJI = {c: i for i, c in enumerate("〇一二三四五六七八九")}
 
 #: A kind of unit is known if at least this share of the numbered spellings ends in it.
 KIND_SHARE = 0.01
+#: A form shorter than this has no slips: nearly every other is one away.
+SLIP_LENGTH = 4
 _LATIN = re.compile("[A-Za-z]")
 
 
@@ -178,7 +180,7 @@ def kind_of_latin(tokens: list[str], kinds: frozenset[str]) -> str | None:
 
 def _unit(place: str, number: str, kind: str) -> Reading:
     key = f"#{number}#{kind}"
-    return Reading({place + key}, {place + key}, {place[:k] + key for k in range(2, len(place))})
+    return Reading({place + key}, {place + key}, {place[:k] + key for k in range(2, min(len(place), 17))})
 
 
 def read_organisation(name: str, kinds: frozenset[str]) -> Reading:
@@ -264,12 +266,12 @@ def variants(names: DataFrame, titles: list[str] = (), scratch: Scratch | None =
     """kind, name, entity: the different spellings of the columns kind (`person` or `organisation`) and name, and the
     smallest spelling of the group each belongs to. Spellings without a variant are left out.
 
-    Null and blank names belong to nobody; repeated rows count once. A full form is compared with all others of its
+    Null names and names without a letter or digit belong to nobody; repeated rows count once. A full form is compared with all others of its
     kind; nothing is sampled but the choice of pivots.
     """
     spark = names.sparkSession
     scratch = scratch or Scratch(spark)
-    rows = scratch.keep(names.select("kind", "name").where("kind in ('person', 'organisation') and length(trim(name)) > 0").distinct())
+    rows = scratch.keep(names.select("kind", "name").where("kind in ('person', 'organisation')").where(F.col("name").rlike(r"[\p{L}\p{N}]")).distinct())
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -299,7 +301,7 @@ def variants(names: DataFrame, titles: list[str] = (), scratch: Scratch | None =
 
     def sure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf[[x[0] == y[0] and one_slip(x, y) and (x[0] == "p" or same_unit(x[1:], y[1:], known)) for x, y in zip(pdf.a, pdf.b)]]
+            yield pdf[[x[0] == y[0] and min(len(x), len(y)) > SLIP_LENGTH and one_slip(x, y) and (x[0] == "p" or same_unit(x[1:], y[1:], known)) for x, y in zip(pdf.a, pdf.b)]]
 
     close = scratch.keep(near.unionByName(swapped).distinct().mapInPandas(sure, "a string, b string"))
     # a form stands for all spellings that have it: forms are linked to each other and spellings to their forms

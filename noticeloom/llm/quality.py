@@ -184,7 +184,8 @@ def kinds(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     Null, empty and blank texts are junk. Repeated rows each come out.
     """
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "kind")
     common = common_words(docs)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((train(docs, labels, common, **options), frozenset(common)))
@@ -198,4 +199,6 @@ def kinds(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             p[blank] = np.eye(len(KINDS))[KINDS.index("junk")]
             yield pd.DataFrame({"doc_id": pdf.doc_id, "kind": [KINDS[i] for i in p.argmax(axis=1)], **{f"p_{kind}": p[:, i] for i, kind in enumerate(KINDS)}})
 
-    return docs.mapInPandas(score, f"doc_id long, kind string, {', '.join(f'p_{k} double' for k in KINDS)}")
+    # ids travel as text, so that a null among them does not make them numbers with a fraction
+    scored = docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(score, f"doc_id string, kind string, {', '.join(f'p_{k} double' for k in KINDS)}")
+    return scored.withColumn("doc_id", F.col("doc_id").cast("long"))
