@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import BROADCAST_BYTES, Scratch, broadcast_if_small
+from ..runtime import BROADCAST_BYTES, Scratch, apart, broadcast_if_small
 
 #: Length of a period of knowledge, and the number of changes after which a new snapshot is taken within a period.
 PERIOD_MONTHS = 12
@@ -118,13 +118,12 @@ def as_known(events: DataFrame, items: DataFrame, *, key: tuple[str, str], event
 
     key: (event column, item column). Of several items the latest start counts (null = earliest), then the one known
     last, then the greatest id. Items with null key, id or time of becoming known are never known; identical rows count
-    once; validity that ends before it begins never holds. Events with null key, date or time get nulls. Columns named
-    item_id or item_value in `events` are an error. Validity is cut to the years in which events fall.
+    once; validity that ends before it begins never holds. Events with null key, date or time get nulls. Columns of
+    `events` named item_id or item_value come out as item_id_in and item_value_in. Validity is cut to the years in which
+    events fall.
     """
-    if clash := {"item_id", "item_value"} & set(events.columns):
-        raise ValueError(f"events has columns named {sorted(clash)}")
     spark = events.sparkSession
-    whole = events.columns
+    whole = dict(zip(events.columns, apart(events, ["item_id", "item_value"]).columns))
     rows = events.select(F.struct("*").alias("row"), F.col(key[0]).cast("string").alias("key"), F.col(event_date).cast("date").alias("on"), F.col(event_known).cast("timestamp_ntz").alias("at"))
     usable = rows.where("key is not null and on is not null and at is not null")
     scratch = Scratch(spark)
@@ -144,4 +143,4 @@ def as_known(events: DataFrame, items: DataFrame, *, key: tuple[str, str], event
     then = F.transform(F.filter("s_snapshot", lambda x: (x["day_from"] <= F.col("on")) & (F.col("on") < x["day_to"])), order)
     since = F.transform(F.filter("s_changes", lambda x: (x["item_known"] <= F.col("at")) & (x["item_from"].isNull() | (x["item_from"] <= F.col("on"))) & (x["item_to"].isNull() | (F.col("on") < x["item_to"]))), order)
     best = F.array_max(F.concat(then, since))
-    return met.select("row", best.alias("best")).select(*(F.col("row")[c].alias(c) for c in whole), F.col("best.item_id").alias("item_id"), F.col("best.item_value").alias("item_value"))
+    return met.select("row", best.alias("best")).select(*(F.col("row")[c].alias(new) for c, new in whole.items()), F.col("best.item_id").alias("item_id"), F.col("best.item_value").alias("item_value"))

@@ -11,7 +11,7 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import broadcast_if_small
+from ..runtime import apart, broadcast_if_small
 
 MATCHES = ("simple", "partial", "full")
 
@@ -24,11 +24,14 @@ def orphans(child: DataFrame, parent: DataFrame, keys: list[tuple[str, str]], ma
     never later). match, as in the SQL standard, for references that are null in part: simple - such a reference is
     satisfied; partial - its non-null columns must match some row; full - it is an orphan (reason `mixed nulls`). A
     reference that is null in all columns is satisfied under each. Reasons: `missing`, `later`, `mixed nulls`. Other
-    columns of `child` are kept, whatever their names; repeated rows are kept.
+    columns of `child` are kept, one named reason as reason_in; repeated rows are kept.
     """
     if match not in MATCHES:
         raise ValueError(f"match must be one of {MATCHES}")
     mine = [f"__k{i}" for i in range(len(keys))]
+    named = apart(child, ["reason"])
+    now = dict(zip(child.columns, named.columns))
+    child, keys, times = named, [(now[c], p) for c, p in keys], times and (now[times[0]], times[1])
     refs = child.select("*", *(F.col(c).alias(k) for (c, _), k in zip(keys, mine)), (F.col(times[0]) if times else F.lit(None).cast("timestamp")).alias("__at"))
     known = parent.select(*(F.col(p).alias(k) for (_, p), k in zip(keys, mine)), (F.col(times[1]) if times else F.lit(None).cast("timestamp")).alias("__from"))
     found = []

@@ -58,3 +58,15 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     """`df` with a broadcast hint if its estimated size is proven to be within `limit`; otherwise unchanged, so that
     the join shuffles and adaptive execution splits skewed partitions."""
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
+
+
+def apart(df: DataFrame, names: list[str]) -> DataFrame:
+    """`df` with columns that would clash with the result columns `names` renamed to <column>_in (case does not matter)."""
+    taken, made = {c.lower() for c in df.columns}, {n.lower() for n in names}
+    out = []
+    for c in df.columns:
+        new = c
+        while new.lower() in made or new != c and new.lower() in taken:
+            new += "_in"
+        out.append(new)
+    return df.toDF(*out)

@@ -19,7 +19,7 @@ CATEGORIES = ("organization", "position", "rank", "alias", "historical", "typogr
 
 def stored(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
     """One row for each file: file_name, path, content, content_hash, size, modified, version (`unknown` if the header has
-    none) and warnings. The hash and header are computed where the bytes are."""
+    none) and warnings. The hash and header are computed where the bytes are. Files of no bytes are left out by the scan."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     head = F.regexp_extract(F.decode(F.substring("content", 1, 16), "ISO-8859-1"), r"^%PDF-(\d+\.\d+)", 1)
     version = F.when(head == "", "unknown").otherwise(head)
