@@ -33,3 +33,18 @@ def next_run(now: Column, anchor: Column, seconds: int) -> Column:
     """The first time at or after `now` that lies whole intervals after `anchor`."""
     gap = F.unix_timestamp(F.to_timestamp(now)) - F.unix_timestamp(F.to_timestamp(anchor))
     return F.timestamp_seconds(F.unix_timestamp(F.to_timestamp(anchor)) + F.greatest(F.lit(0), F.ceil(gap / seconds)) * seconds)
+
+
+def paired_durations(events: DataFrame, keys: list[str], kind: str, time: str, start: str, end: str) -> DataFrame:
+    """keys and elapsed_ms of each `end` event that directly follows a `start` event of the same keys in time; ends sort
+    after starts of the same moment."""
+    w = W.Window.partitionBy(*keys).orderBy(time, (F.col(kind) == end).cast("int"))
+    rows = events.where(F.col(kind).isin(start, end)).withColumns({"__was": F.lag(kind).over(w), "__from": F.lag(time).over(w)})
+    return rows.where((F.col(kind) == end) & (F.col("__was") == start)).select(*keys, elapsed_ms(F.col("__from"), F.col(time)).alias("elapsed_ms"))
+
+
+def health(jobs: DataFrame, keys: list[str], now: Column) -> DataFrame:
+    """keys, last start, last success and hours since that success (null if there was none)."""
+    ok = F.max(F.when(F.col("status") == "succeeded", F.col("finished_at")))
+    out = jobs.groupBy(*keys).agg(F.max("started_at").alias("last_start"), ok.alias("last_success"))
+    return out.withColumn("hours_since", elapsed_ms(F.col("last_success"), now) / 3.6e6)

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scoring, text
 from ..operators import audit, extract, features, layout, lookup, metrics, resume, versions
-from ..runtime import broadcast_if_small
+from ..runtime import Scratch, broadcast_if_small
 from ..sinks import export
 from ..sources.tables import table
+from ..streaming import ingest
 
 NOW, AS_OF = "2026-01-01 00:00:00", "2020-01-01"
 QUERIES, ORACLES = {}, {}
@@ -523,3 +524,64 @@ def reproposal_threshold(spark: SparkSession, folder: str) -> DataFrame:
     known = items.where("category in ('organization', 'alias')").select(F.col("item_key").alias("raw")).distinct()
     new = found.join(broadcast_if_small(known), "raw", "left_anti")
     return new.join(table(spark, folder, "personnel_sections").select(F.col("id").alias("record_id"), "pdf_id"), "record_id").groupBy(F.col("raw").alias("spelling")).agg(F.countDistinct("pdf_id").alias("n_pdfs")).where("n_pdfs >= 2")
+
+
+@query("""WITH e AS (SELECT DISTINCT id, 'started' AS kind, started_at AS t FROM jobs UNION ALL SELECT DISTINCT id, 'ended', finished_at FROM jobs WHERE finished_at IS NOT NULL),
+l AS (SELECT *, lag(kind) OVER w AS was, lag(t) OVER w AS begun FROM e WINDOW w AS (PARTITION BY id ORDER BY t, kind = 'ended'))
+SELECT id, (epoch_us(t) - epoch_us(begun)) / 1000 AS elapsed_ms FROM l WHERE kind = 'ended' AND was = 'started'""")
+def stage_durations(spark: SparkSession, folder: str) -> DataFrame:
+    """From an event log of starts and ends."""
+    jobs = table(spark, folder, "jobs").select("id", "started_at", "finished_at").distinct()
+    events = jobs.select("id", F.explode(F.array(F.struct(F.lit("started").alias("kind"), F.col("started_at").alias("t")), F.struct(F.lit("ended").alias("kind"), F.col("finished_at").alias("t")))).alias("e")).select("id", "e.*").where("t is not null")
+    return metrics.paired_durations(events, ["id"], "kind", "t", "started", "ended")
+
+
+@query("""SELECT job_type, max(started_at) AS last_start, max(finished_at) FILTER (status = 'succeeded') AS last_success, (epoch_us(TIMESTAMP '2026-01-01') - epoch_us(max(finished_at) FILTER (status = 'succeeded'))) / 1000 / 3.6e6 AS hours_since FROM jobs GROUP BY 1""")
+def health_checks(spark: SparkSession, folder: str) -> DataFrame:
+    return metrics.health(table(spark, folder, "jobs"), ["job_type"], _at(NOW))
+
+
+@query("""SELECT code_version, status, count(*) AS n, count(DISTINCT error_summary) AS n_errors FROM (SELECT DISTINCT * FROM jobs) j LEFT JOIN parser_versions v ON v.id = j.parser_version_id GROUP BY 1, 2""")
+def analytics_version_status(spark: SparkSession, folder: str) -> DataFrame:
+    known = table(spark, folder, "parser_versions").select(F.col("id").alias("parser_version_id"), "code_version")
+    jobs = table(spark, folder, "jobs").distinct().join(broadcast_if_small(known), "parser_version_id", "left")
+    return jobs.groupBy("code_version", "status").agg(F.count("*").alias("n"), F.countDistinct("error_summary").alias("n_errors"))
+
+
+@query("""SELECT l.era_id, s.status, count(*) AS n, count(DISTINCT s.pdf_id) AS n_pdfs FROM raw_records r JOIN personnel_sections s ON s.id = r.section_ref JOIN layouts l ON l.id = s.layout_id GROUP BY 1, 2""")
+def records_by_layout(spark: SparkSession, folder: str) -> DataFrame:
+    eras = table(spark, folder, "layouts").select(F.col("id").alias("layout_id"), "era_id")
+    sections = table(spark, folder, "personnel_sections").select(F.col("id").alias("section_ref"), "layout_id", "status", "pdf_id").join(broadcast_if_small(eras), "layout_id")
+    return table(spark, folder, "raw_records").select("section_ref").join(sections, "section_ref").groupBy("era_id", "status").agg(F.count("*").alias("n"), F.countDistinct("pdf_id").alias("n_pdfs"))
+
+
+@query("""SELECT id, substr(content_hash, 1, 2) || '/' || substr(content_hash, 3, 2) || '/' || content_hash || '.pdf' AS stored_as, regexp_extract(source_url, '^([a-z]+):', 1) IN ('http', 'https') AS allowed FROM pdfs""")
+def storage_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Where a file belongs by its content, and whether its address may be fetched."""
+    h = F.col("content_hash")
+    return table(spark, folder, "pdfs").select("id", F.concat(F.substring(h, 1, 2), F.lit("/"), F.substring(h, 3, 2), F.lit("/"), h, F.lit(".pdf")).alias("stored_as"), F.coalesce(F.parse_url("source_url", F.lit("PROTOCOL")).isin("http", "https"), F.lit(False)).alias("allowed"))
+
+
+@query(f"""SELECT n, sha256(n || ':' || s0 || ':' || s1 || ':' || s2 || ':' || s3) AS content_hash FROM (SELECT count(*) AS n, {_SUMS} FROM (
+SELECT sha256(concat_ws('|', canonical_value, category, id::VARCHAR, item_key)) AS h FROM (SELECT DISTINCT id, category, item_key, canonical_value FROM knowledge_items WHERE {_IN_FORCE})))""")
+def snapshot_checksum(spark: SparkSession, folder: str) -> DataFrame:
+    """One checksum of the dictionary in force, whatever the order of its files."""
+    return export.content_hash(lookup.effective(table(spark, folder, "knowledge_items"), _day(AS_OF)).select("id", "category", "item_key", "canonical_value").distinct())
+
+
+@query("""SELECT event_type, time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS start, count(*) AS n FROM events GROUP BY 1, 2""")
+def windowed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts that streaming.ingest.counts makes of a stream, over all that is there."""
+    return table(spark, folder, "events").groupBy(F.window("ts", "7 days").alias("w"), "event_type").agg(F.count("*").alias("n")).select("event_type", F.col("w.start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query("SELECT DISTINCT sha256(coalesce(text, '')) AS content_hash FROM documents")
+def stream_equals_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents taken from a stream once for each content; SQL does the same in one go."""
+    path = f"{folder.rstrip('/')}/documents.parquet"
+    scratch = Scratch(spark)
+    # a pattern, since a stream's path may not be a single file
+    stream = ingest.arrivals(spark, f"{path[:-1]}[t]", spark.read.parquet(path).schema)
+    timed = stream.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+    ingest.drain(ingest.first_seen(timed, "text", "ingested_at", "3650 days").select("content_hash"), f"{scratch.folder}/stream", f"{scratch.folder}/progress")
+    return spark.read.parquet(f"{scratch.folder}/stream")

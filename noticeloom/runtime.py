@@ -32,6 +32,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.folder = spark, f"{scratch_folder(spark)}/loom-{uuid.uuid4().hex}"
         self.n = 0
+        atexit.register(self.clear)
 
     def keep(self, df: DataFrame) -> DataFrame:
         """`df`, written and read again."""
@@ -42,11 +43,20 @@ class Scratch:
 
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables of keep() that nothing reads any more."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
         for df in frames:
             for parent in {os.path.dirname(f) for f in df.inputFiles()}:
-                path = hadoop.Path(parent)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                self._delete(parent)
+
+    def clear(self) -> None:
+        """Delete everything; at the end of the program, when no result is read any more."""
+        try:
+            self._delete(self.folder)
+        except Exception:  # noqa: BLE001 - the session may be gone
+            shutil.rmtree(self.folder.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def estimated_bytes(df: DataFrame) -> int:
