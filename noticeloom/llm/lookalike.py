@@ -40,10 +40,10 @@ def _invisible(c: str) -> bool:
 
 
 @lru_cache(1)
-def _folds() -> tuple[dict[int, str], re.Pattern]:
-    """The table of signs that are stand-ins everywhere, by rule from the Unicode database, and a pattern for them."""
+def _folds() -> tuple[dict[int, str], frozenset[str]]:
+    """The table of signs that are stand-ins everywhere, by rule from the Unicode database, and the signs that call for folding."""
     table = {ord(c): v for c, v in DASHES.items()}
-    for o in range(0x80, 0x110000):
+    for o in (*range(0x80, 0x34000), *range(0xE0000, 0xE1000)):  # beyond are unassigned and private signs
         c = chr(o)
         kind = unicodedata.category(c)
         if kind in ("Cn", "Co", "Cs"):
@@ -57,13 +57,14 @@ def _folds() -> tuple[dict[int, str], re.Pattern]:
             if single and (tag in ("<wide>", "<narrow>", "<font>") or tag == "<compat>" and 0x2E80 <= o <= 0x2FDF or not tag.startswith("<")):
                 table[o] = unicodedata.normalize("NFKC", c)
     table |= {0xFF9E: "゙", 0xFF9F: "゚"}
-    return table, re.compile("[" + re.escape("".join(map(chr, table))) + "̀-゙ͯ-゜]")
+    marks = {chr(o) for o in (*range(0x300, 0x370), *range(0x3099, 0x309D))}
+    return table, frozenset(map(chr, table)) | marks
 
 
 def fold(text: str) -> str:
     """`text` with every certain stand-in replaced; equal to `text` exactly if it holds none."""
-    table, pattern = _folds()
-    if text.isascii() or not pattern.search(text):
+    table, signs = _folds()
+    if text.isascii() or signs.isdisjoint(text):
         return text
     text = re.sub("([か-ほカ-ホうウ])([゛゜])", lambda m: m[1] + chr(ord(m[2]) - 2), text.translate(table))
     return unicodedata.normalize("NFC", text)
@@ -81,6 +82,7 @@ def doubtful(folded: str) -> list[str]:
 _PLAIN = re.compile(rf"(?<![^\W_])[{''.join(sorted(set(LATIN.values())))}]+(?![^\W_])")
 
 
+@lru_cache(1 << 16)
 def look(word: str) -> str:
     """What `word` looks like; equal for words that differ by look-alikes only."""
     return "".join(_LOOK.get(c, c) for c in word)
@@ -92,6 +94,7 @@ def _script(c: str) -> str:
     return "kanji" if "㐀" <= c <= "鿿" or c in "々〆" else "other"
 
 
+@lru_cache(1 << 16)
 def by_table(word: str) -> str:
     """The spelling of a word judged by its own signs: letters from elsewhere within a Latin word, katakana among
     ideographs, ideographs inside katakana. A word wholly in one script stays as it is."""
