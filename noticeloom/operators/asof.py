@@ -21,8 +21,12 @@ from ..runtime import BROADCAST_BYTES, Scratch, apart, broadcast_if_small
 PERIOD_MONTHS = 12
 CHANGES_PER_SNAPSHOT = 256
 
-_ITEM = "item_id long, item_value string, item_from date, item_to date, item_known timestamp_ntz"
-_STATE = f"key string, year int, period int, starts timestamp_ntz, ends timestamp_ntz, snapshot array<struct<day_from:date,day_to:date,item_id:long,item_value:string,item_from:date,item_known:timestamp_ntz>>, changes array<struct<{', '.join(x.replace(' ', ':') for x in _ITEM.split(', '))}>>"
+#: States that travel in one row.
+STATES_PER_ROW = 16
+
+_SEGMENT = "struct<day_from:date,day_to:date,item_id:bigint,item_value:string,item_from:date,item_known:timestamp_ntz>"
+_CHANGE = "struct<item_id:bigint,item_value:string,item_from:date,item_to:date,item_known:timestamp_ntz>"
+_STATE = f"key string, year int, starts timestamp_ntz, ends timestamp_ntz, states array<struct<starts:timestamp_ntz,ends:timestamp_ntz,snapshot:array<{_SEGMENT}>,changes:array<{_CHANGE}>>>"
 
 
 def _period(column: Column, months: int) -> Column:
@@ -69,43 +73,42 @@ class _Timeline:
         return out
 
 
-def _states(last_period: int, months: int):
-    """Sorted items to snapshots and change logs, in one pass that holds one year of one key at a time."""
+def _states(months: int):
+    """Sorted items to snapshots and change logs, in one pass that holds one year of one key at a time. A state is a
+    snapshot and what became known after it, until the end of the period of its changes; the last has no end."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, line, period, starts, changes, rows = None, None, 0, None, [], []
+        group, line, period, starts, changes, states, rows = None, None, 0, None, [], [], []
 
-        def close(ends: dt.datetime) -> None:
+        def close(ends: dt.datetime | None) -> None:
             nonlocal changes, starts
-            rows.append({"key": group[0], "year": group[1], "period": period, "starts": starts, "ends": ends, "snapshot": line.segments(), "changes": [dict(zip(("item_id", "item_value", "item_from", "item_to", "item_known"), c)) for c in changes]})
+            states.append({"starts": starts, "ends": ends, "snapshot": line.segments(), "changes": [dict(zip(("item_id", "item_value", "item_from", "item_to", "item_known"), c)) for c in changes]})
             for c in changes:
                 line.add(c)
             changes, starts = [], ends
-
-        def go_on(to: int) -> None:
-            nonlocal period, starts
-            while period < to:
-                close(_period_start(period + 1, months))
-                period += 1
-                starts = _period_start(period, months)
+            if len(states) == STATES_PER_ROW or ends is None:
+                rows.append({"key": group[0], "year": group[1], "starts": states[0]["starts"], "ends": ends, "states": list(states)})
+                states.clear()
 
         for pdf in batches:
             for key, year, at, *item in zip(pdf.key, pdf.year, pdf.period, pdf.item_id, pdf.item_value, pdf.item_from, pdf.item_to, pdf.item_known):
                 item = (int(item[0]), item[1], None if pd.isna(item[2]) else item[2], None if pd.isna(item[3]) else item[3], pd.Timestamp(item[4]).to_pydatetime())
                 if (key, year) != group:
                     if group:
-                        go_on(last_period + 1)
-                    group, line, period, changes = (key, year), _Timeline(int(year)), int(at), []
+                        close(None)
+                    group, line, period = (key, year), _Timeline(int(year)), int(at)
                     starts = _period_start(period, months)
-                go_on(int(at))
-                if len(changes) >= CHANGES_PER_SNAPSHOT and item[4] > changes[-1][4]:
+                elif at != period:
+                    close(_period_start(period + 1, months))
+                    period = int(at)
+                elif len(changes) >= CHANGES_PER_SNAPSHOT and item[4] > changes[-1][4]:
                     close(item[4])
                 changes.append(item)
                 if len(rows) >= 500:
                     yield pd.DataFrame(rows)
                     rows.clear()
         if group:
-            go_on(last_period + 1)
+            close(None)
         if rows:
             yield pd.DataFrame(rows)
 
@@ -135,12 +138,14 @@ def as_known(events: DataFrame, items: DataFrame, *, key: tuple[str, str], event
     known = known.withColumn("period", _period(F.col("item_known"), months)).where(F.col("period") <= newest)
     lo, hi = F.greatest(F.coalesce(F.year("item_from"), F.lit(first)), F.lit(first)), F.least(F.coalesce(F.year("item_to"), F.lit(last)), F.lit(last))
     yearly = known.withColumn("lo", lo).withColumn("hi", hi).where("lo <= hi").withColumn("year", F.explode(F.sequence("lo", "hi"))).drop("lo", "hi")
-    states = yearly.repartition("key", "year").sortWithinPartitions("key", "year", "item_known", "item_id").mapInPandas(_states(int(newest), months), _STATE)
+    states = yearly.repartition("key", "year").sortWithinPartitions("key", "year", "item_known", "item_id").mapInPandas(_states(months), _STATE)
     states = broadcast_if_small(scratch.keep(states), broadcast_bytes)
-    asked = rows.withColumn("year", F.year("on")).withColumn("period", _period(F.col("at"), months))
-    met = asked.join(states.select(*(F.col(c).alias(f"s_{c}") for c in states.columns)), (F.col("key") == F.col("s_key")) & (F.col("year") == F.col("s_year")) & (F.col("period") == F.col("s_period")) & (F.col("s_starts") <= F.col("at")) & (F.col("at") < F.col("s_ends")), "left")
+    asked = rows.withColumn("year", F.year("on"))
+    holds = lambda starts, ends: (starts <= F.col("at")) & (ends.isNull() | (F.col("at") < ends))
+    met = asked.join(states.select(*(F.col(c).alias(f"s_{c}") for c in states.columns)), (F.col("key") == F.col("s_key")) & (F.col("year") == F.col("s_year")) & holds(F.col("s_starts"), F.col("s_ends")), "left")
+    met = met.withColumn("s", F.try_element_at(F.filter("s_states", lambda x: holds(x["starts"], x["ends"])), F.lit(1)))
     order = lambda x: F.struct(F.coalesce(F.datediff(x["item_from"], F.lit("1970-01-01")), F.lit(-(1 << 30))), x["item_known"], x["item_id"], x["item_value"])
-    then = F.transform(F.filter("s_snapshot", lambda x: (x["day_from"] <= F.col("on")) & (F.col("on") < x["day_to"])), order)
-    since = F.transform(F.filter("s_changes", lambda x: (x["item_known"] <= F.col("at")) & (x["item_from"].isNull() | (x["item_from"] <= F.col("on"))) & (x["item_to"].isNull() | (F.col("on") < x["item_to"]))), order)
+    then = F.transform(F.filter("s.snapshot", lambda x: (x["day_from"] <= F.col("on")) & (F.col("on") < x["day_to"])), order)
+    since = F.transform(F.filter("s.changes", lambda x: (x["item_known"] <= F.col("at")) & (x["item_from"].isNull() | (x["item_from"] <= F.col("on"))) & (x["item_to"].isNull() | (F.col("on") < x["item_to"]))), order)
     best = F.array_max(F.concat(then, since))
     return met.select("row", best.alias("best")).select(*(F.col("row")[c].alias(new) for c, new in whole.items()), F.col("best.item_id").alias("item_id"), F.col("best.item_value").alias("item_value"))

@@ -11,8 +11,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Estimated bytes up to which a side may be broadcast.
-BROADCAST_BYTES = 8 << 20
+#: Estimated bytes up to which a side may be broadcast. Of a written table these are compressed bytes, which unfold to ten
+#: times as many and more.
+BROADCAST_BYTES = 3 << 20
 
 
 def scratch_folder(spark: SparkSession) -> str:
