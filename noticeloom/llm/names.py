@@ -34,8 +34,8 @@ _KANJI = {c: i for i, c in enumerate("〇一二三四五六七八九")}
 
 #: A kind of unit is known if at least this share of the numbered spellings ends in it.
 KIND_SHARE = 0.01
-#: A form shorter than this has no slips: nearly every other is one away.
-SLIP_LENGTH = 4
+#: Two forms that are both shorter than this are no slips of each other: nearly every short form is one away.
+SLIP_LENGTH = 5
 _LATIN = re.compile("[A-Za-z]")
 
 
@@ -301,7 +301,7 @@ def variants(names: DataFrame, titles: list[str] = (), scratch: Scratch | None =
 
     def sure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf[[x[0] == y[0] and min(len(x), len(y)) > SLIP_LENGTH and one_slip(x, y) and (x[0] == "p" or same_unit(x[1:], y[1:], known)) for x, y in zip(pdf.a, pdf.b)]]
+            yield pdf[[x[0] == y[0] and max(len(x), len(y)) > SLIP_LENGTH and one_slip(x, y) and (x[0] == "p" or same_unit(x[1:], y[1:], known)) for x, y in zip(pdf.a, pdf.b)]]
 
     close = scratch.keep(near.unionByName(swapped).distinct().mapInPandas(sure, "a string, b string"))
     # a form stands for all spellings that have it: forms are linked to each other and spellings to their forms
