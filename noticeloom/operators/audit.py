@@ -17,10 +17,10 @@ def duplicated(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def newer_not_active(rows: DataFrame, keys: list[str], active: Column, released: str, id_col: str = "id") -> DataFrame:
-    """Active rows beside an inactive row of the same keys released later: id_active, id_newer."""
+    """Active rows beside an inactive row of the same keys released later: id_active, id_newer (the one released last)."""
     a = rows.where(active).select(*keys, F.col(id_col).alias("id_active"), F.col(released).alias("__a"))
-    b = rows.where(~active).select(*keys, F.col(id_col).alias("id_newer"), F.col(released).alias("__b"))
-    return a.join(b, keys).where("__b > __a").select("id_active", "id_newer")
+    b = rows.where(~active).groupBy(*keys).agg(F.max(F.struct(F.col(released).alias("at"), F.col(id_col).alias("id"))).alias("__b"))
+    return a.join(b, keys).where(F.col("__b.at") > F.col("__a")).select("id_active", F.col("__b.id").alias("id_newer"))
 
 
 def without_sibling(rows: DataFrame, keys: list[str], lone: Column, sibling: Column) -> DataFrame:

@@ -2,31 +2,31 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scoring, text
 
-RULES = "array<struct<rule_id string, kind string, value string, weight double>>"
+RULES = "array<struct<rule_id:string,kind:string,value:string,weight:double>>"
 
 
 def evidence(pages: DataFrame, doc: str = "doc_id", index: str = "page_index", body: str = "text") -> DataFrame:
     """One row for each document of `pages`: page_count, mean_chars, mean_lines, mean_blocks, header, footer.
 
     header is the first line of the first page, footer the last line of the last; null where that page is blank. Means
-    are over all pages in order. One exchange by document.
+    are over all pages. One exchange by document, to which every page brings counts and two lines.
     """
-    page = F.struct(F.col(index).alias("i"), text.lines(F.col(body)).alias("lines"), F.size(text.blocks(F.col(body))).alias("blocks"), F.length(F.coalesce(F.col(body), F.lit(""))).alias("chars"))
-    grouped = pages.groupBy(doc).agg(F.array_sort(F.collect_list(page)).alias("p"))
-    mean = lambda f: scoring.ordered_mean(F.transform("p", lambda x: f(x).cast("double")))
-    return grouped.select(
-        doc,
-        F.size("p").cast("long").alias("page_count"),
-        mean(lambda x: x["chars"]).alias("mean_chars"),
-        mean(lambda x: F.size(x["lines"])).alias("mean_lines"),
-        mean(lambda x: x["blocks"]).alias("mean_blocks"),
-        text.first(text.first(F.col("p"))["lines"]).alias("header"),
-        text.last(text.last(F.col("p"))["lines"]).alias("footer"),
+    found = text.lines(F.col(body))
+    page = pages.select(doc, F.col(index).alias("__i"), F.length(F.coalesce(F.col(body), F.lit(""))).alias("chars"), F.size(found).alias("lines"), F.size(text.blocks(F.col(body))).alias("blocks"), text.first(found).alias("first"), text.last(found).alias("last"))
+    return page.groupBy(doc).agg(
+        F.count("*").alias("page_count"),
+        F.avg("chars").alias("mean_chars"),
+        F.avg("lines").alias("mean_lines"),
+        F.avg("blocks").alias("mean_blocks"),
+        F.min_by("first", "__i").alias("header"),
+        F.max_by("last", "__i").alias("footer"),
     )
 
 
@@ -44,14 +44,20 @@ def _matched(rule: Column, page_count: Column, header: Column, footer: Column) -
 def detect(found: DataFrame, layouts: DataFrame, doc: str = "doc_id") -> DataFrame:
     """The best layout of each document of evidence(): layout_id (null below the threshold), score, band, warnings.
 
-    layouts: ordinal, layout_id, rules (array of rule_id, kind, value, weight), a manifest that is broadcast. The
-    highest score wins, of equal ones the first ordinal. Without a layout the score is 0.0 and the warning NO_MATCH.
+    layouts: ordinal, layout_id, rules (array of rule_id, kind, value, weight), a manifest read from files; it goes into the
+    plan as a constant, so that every document is scored where it is. The highest score wins, of equal ones the first
+    ordinal. Without a layout the score is 0.0 and the warning NO_MATCH.
     """
-    every = found.crossJoin(F.broadcast(layouts)) if layouts.limit(1).count() else found.withColumns({"ordinal": F.lit(0), "layout_id": F.lit(None).cast("string"), "rules": F.from_json(F.lit("[]"), RULES)})
-    tried = F.transform("rules", lambda r: F.struct(_matched(r, F.col("page_count"), F.col("header"), F.col("footer")).alias("matched"), r["weight"].alias("weight")))
-    scored = every.select(doc, F.struct(scoring.weighted_score(tried).alias("score"), (-F.col("ordinal")).alias("first"), F.col("layout_id")).alias("c"))
-    top = scored.groupBy(doc).agg(F.sort_array(F.collect_list("c"), asc=False).alias("c"))
+    manifest = [{"ordinal": r.ordinal, "layout_id": r.layout_id, "rules": [x.asDict() for x in r.rules]} for r in layouts.toLocalIterator()]
+    known = F.from_json(F.lit(json.dumps(manifest)), f"array<struct<ordinal:int,layout_id:string,rules:{RULES}>>")
+
+    def scored(one: Column) -> Column:
+        tried = F.transform(one["rules"], lambda r: F.struct(_matched(r, F.col("page_count"), F.col("header"), F.col("footer")).alias("matched"), r["weight"].alias("weight")))
+        return F.struct(scoring.weighted_score(tried).alias("score"), (-one["ordinal"]).alias("first"), one["layout_id"].alias("layout_id"))
+
+    top = found.withColumn("c", F.sort_array(F.transform(known, scored), asc=False))
     best, second = text.first(F.col("c")), F.try_element_at("c", F.lit(2))
-    hit = best["score"] >= scoring.LAYOUT_MATCH
-    warnings = F.array_compact(F.array(F.when(hit & (best["score"] - second["score"] < scoring.LAYOUT_MARGIN), "AMBIGUOUS"), F.when((best["score"] >= scoring.LAYOUT_LOW) & ~hit, "LOW_CONFIDENCE"), F.when(best["score"] < scoring.LAYOUT_LOW, "NO_MATCH")))
-    return top.select(doc, F.when(hit, best["layout_id"]).alias("layout_id"), best["score"].alias("score"), scoring.band(best["score"]).alias("band"), warnings.alias("warnings"))
+    score = F.coalesce(best["score"], F.lit(0.0))
+    hit = score >= scoring.LAYOUT_MATCH
+    warnings = F.array_compact(F.array(F.when(hit & (score - second["score"] < scoring.LAYOUT_MARGIN), "AMBIGUOUS"), F.when((score >= scoring.LAYOUT_LOW) & ~hit, "LOW_CONFIDENCE"), F.when(score < scoring.LAYOUT_LOW, "NO_MATCH")))
+    return top.select(doc, F.when(hit, best["layout_id"]).alias("layout_id"), score.alias("score"), scoring.band(score).alias("band"), warnings.alias("warnings"))

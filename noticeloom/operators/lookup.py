@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from ..functions import scoring, text
 from ..runtime import broadcast_if_small
@@ -32,15 +33,14 @@ def newest(items: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def overlaps(items: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of items of one key whose validity overlaps (id_a < id_b). Rows are sorted by start and each is held against
-    those that begin before it ends, not against all of the key: items are put into the years they cover."""
-    start, end = F.coalesce("effective_from", F.lit("1900-01-01").cast("date")), F.coalesce("effective_to", F.lit("2100-01-01").cast("date"))
+    """keys, id, earlier_id: each item that begins before an earlier one of its keys has ended, with the earlier item that
+    ends last (null = never, then the greatest id). Intervals that end before they begin cover nothing; repeated ids count
+    once. One pass over sorted rows, however many overlap."""
+    start, end = F.coalesce("effective_from", F.lit("0001-01-01").cast("date")), F.coalesce("effective_to", F.lit("9999-12-31").cast("date"))
     rows = items.dropDuplicates(["id"]).select(*keys, "id", start.alias("s"), end.alias("e")).where("s < e")
-    yearly = rows.withColumn("year", F.explode(F.sequence(F.year("s"), F.year(F.date_sub("e", 1)))))
-    a = yearly.select(*keys, "year", F.col("id").alias("id_a"), F.col("s").alias("s_a"), F.col("e").alias("e_a"))
-    b = yearly.select(*keys, "year", F.col("id").alias("id_b"), F.col("s").alias("s_b"), F.col("e").alias("e_b"))
-    met = a.join(b, [*keys, "year"]).where("id_a < id_b and s_a < e_b and s_b < e_a and year = year(greatest(s_a, s_b))")
-    return met.select(*keys, "id_a", "id_b")
+    before = W.Window.partitionBy(*keys).orderBy("s", "id").rowsBetween(W.Window.unboundedPreceding, -1)
+    met = rows.withColumn("last", F.max(F.struct("e", "id")).over(before)).where(F.col("last.e") > F.col("s"))
+    return met.select(*keys, "id", F.col("last.id").alias("earlier_id"))
 
 
 def typography(value: Column, rules: list[tuple[int, str, str]]) -> Column:
@@ -65,12 +65,12 @@ def normalize(records: DataFrame, items: DataFrame, at: Column, record: str = "r
 
     A value is brought to its compatibility form, then through the typography rules in the order of the dictionary, then
     looked up in the category of its semantic name; the first item in force at `at` counts. Fields that come out empty are
-    left out. Score of a record: mean over its fields of 1.0 (looked up), 0.6 (typography) or 0.3 (as it was).
+    left out; repeated records count once. Score of a record: mean over its fields of 1.0 (looked up), 0.6 (typography) or 0.3 (as it was).
     """
     valid = items.where(in_force(F.col("effective_from"), F.col("effective_to"), at))
     rules = [(r.id, r.item_key, r.canonical_value) for r in valid.where("category = 'typography'").dropDuplicates(["id"]).orderBy("ordinal", "id").toLocalIterator()]
     kind = F.create_map(*(F.lit(x) for pair in CATEGORY.items() for x in pair))
-    rows = fields(records, items, record, layout).withColumn("t", typography(text.nfkc(F.col("raw")), rules)).where("t.value <> ''")
+    rows = fields(records.dropDuplicates([record]), items, record, layout).withColumn("t", typography(text.nfkc(F.col("raw")), rules)).where("t.value <> ''")
     words = valid.where(F.col("category").isin(list(CATEGORY.values()))).groupBy(F.col("category").alias("c"), F.col("item_key").alias("k")).agg(F.min_by(F.struct("canonical_value", "id"), F.struct("ordinal", "id")).alias("hit"))
     coded = rows.withColumn("c", F.try_element_at(kind, F.col("semantic"))).withColumn("k", F.col("t.value"))
     met = coded.join(broadcast_if_small(words), ["c", "k"], "left")

@@ -17,9 +17,16 @@ def success_rate(jobs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quantiles(rows: DataFrame, keys: list[str], value: Column, points: dict[str, float]) -> DataFrame:
-    """keys, n and exact interpolated quantiles of `value`, named as in points."""
-    out = rows.withColumn("__v", value).where("__v is not null").groupBy(*keys)
-    return out.agg(F.count("*").alias("n"), *(F.percentile("__v", F.lit(p)).alias(name) for name, p in points.items()))
+    """keys, n and exact interpolated quantiles of `value`, named as in points. Equal values are counted first and then
+    walked in order, so that no task holds a whole group."""
+    counted = rows.withColumn("__v", value).where("__v is not null").groupBy(*keys, "__v").agg(F.count("*").alias("__c"))
+    up_to = F.sum("__c").over(W.Window.partitionBy(*keys).orderBy("__v").rowsBetween(W.Window.unboundedPreceding, 0))
+    walked = counted.withColumn("__to", up_to).join(counted.groupBy(*keys).agg(F.sum("__c").alias("n")), keys)
+    at = {name: p * (F.col("n") - 1) for name, p in points.items()}
+    ends = [F.min(F.when(F.col("__to") > f(x), F.col("__v"))).alias(f"__{name}_{f.__name__}") for name, x in at.items() for f in (F.floor, F.ceil)]
+    found = walked.groupBy(*keys, "n").agg(*ends)
+    between = lambda name, x: F.col(f"__{name}_floor") + (F.col(f"__{name}_ceil") - F.col(f"__{name}_floor")) * (x - F.floor(x))
+    return found.select(*keys, "n", *(between(name, x).alias(name) for name, x in at.items()))
 
 
 def growth(rows: DataFrame, time: str, unit: str = "month") -> DataFrame:

@@ -176,8 +176,9 @@ def dictionary_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.newest(lookup.effective(table(spark, folder, "knowledge_items"), _day(AS_OF)), ["category", "item_key"]).select("category", "item_key", "id", "canonical_value")
 
 
-@query("""WITH k AS (SELECT DISTINCT id, category, item_key, coalesce(effective_from, DATE '1900-01-01') AS s, coalesce(effective_to, DATE '2100-01-01') AS e FROM knowledge_items)
-SELECT a.category, a.item_key, a.id AS id_a, b.id AS id_b FROM k a JOIN k b ON a.category = b.category AND a.item_key = b.item_key AND a.id < b.id AND a.s < b.e AND b.s < a.e WHERE a.s < a.e AND b.s < b.e""")
+@query("""WITH k AS (SELECT DISTINCT id, category, item_key, coalesce(effective_from, DATE '0001-01-01') AS s, coalesce(effective_to, DATE '9999-12-31') AS e FROM knowledge_items),
+p AS (SELECT b.category, b.item_key, b.id, a.id AS earlier_id, row_number() OVER (PARTITION BY b.id ORDER BY a.e DESC, a.id DESC) AS n FROM k a JOIN k b ON a.category = b.category AND a.item_key = b.item_key AND (a.s, a.id) < (b.s, b.id) AND a.e > b.s WHERE a.s < a.e AND b.s < b.e)
+SELECT category, item_key, id, earlier_id FROM p WHERE n = 1""")
 def dictionary_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.overlaps(table(spark, folder, "knowledge_items"), ["category", "item_key"])
 
@@ -291,7 +292,7 @@ def audit_dup_active(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""WITH s AS (SELECT s.id, pdf_id, section_index, status, released_at FROM personnel_sections s JOIN parser_versions v ON v.id = parser_version_id)
-SELECT a.id AS id_active, b.id AS id_newer FROM s a JOIN s b USING (pdf_id, section_index) WHERE a.status = 'parsed' AND b.status <> 'parsed' AND b.released_at > a.released_at""")
+SELECT a.id AS id_active, arg_max(b.id, (b.released_at, b.id)) AS id_newer FROM s a JOIN s b USING (pdf_id, section_index) WHERE a.status = 'parsed' AND b.status <> 'parsed' AND b.released_at > a.released_at GROUP BY a.id""")
 def audit_newer_superseded(spark: SparkSession, folder: str) -> DataFrame:
     return audit.newer_not_active(_sections(spark, folder), _PLACE, F.col("status") == "parsed", "released_at")
 

@@ -61,6 +61,12 @@ def test_growth_and_next_run(spark):
     assert [r.r for r in runs] == [T(1), T(2), T(3)]
 
 
+def test_quantiles_are_exact(spark):
+    rows = spark.createDataFrame([("a", float(v)) for v in (1, 1, 2, 7, 9, 9, 30)] + [("b", 4.0), ("c", None)], "k string, v double")
+    got = {r.k: (r.n, r.mid, r.high) for r in metrics.quantiles(rows, ["k"], F.col("v"), {"mid": 0.5, "high": 0.95}).collect()}
+    assert got["a"][:2] == (7, 7.0) and abs(got["a"][2] - 23.7) < 1e-9 and got["b"] == (1, 4.0, 4.0) and "c" not in got
+
+
 def test_features(spark):
     fields = [("a", "x"), ("b", " 　"), ("c", None), ("d", "�")]
     df = spark.createDataFrame([(fields,), ([],)], "f array<struct<name:string,value:string>>")

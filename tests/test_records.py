@@ -104,7 +104,7 @@ def test_nfkc(spark):
 def test_overlaps(spark):
     rows = [(1, "k", D(2010, 1, 1), D(2012, 1, 1)), (2, "k", D(2011, 12, 31), None), (3, "k", D(2012, 1, 1), D(2012, 1, 1)), (4, "k", None, D(2010, 1, 1)), (5, "j", None, None), (5, "j", None, None)]
     df = spark.createDataFrame(rows, "id long, k string, effective_from date, effective_to date")
-    assert [(r.id_a, r.id_b) for r in lookup.overlaps(df, ["k"]).collect()] == [(1, 2)]
+    assert [(r.id, r.earlier_id) for r in lookup.overlaps(df, ["k"]).collect()] == [(2, 1)]
 
 
 def test_versions(spark):
