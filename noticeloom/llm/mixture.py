@@ -138,6 +138,7 @@ def mix(docs: DataFrame, targets: DataFrame, *, total: float | None = None, toke
     reached = got.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("drawn_tokens"), F.max("copies").alias("most_copies"))
     report = plan.select("source", "target_share", "max_repeats", "documents", "tokens").join(reached, "source", "left")
     report = report.withColumn("drawn_tokens", F.coalesce("drawn_tokens", F.lit(0))).withColumn("most_copies", F.coalesce("most_copies", F.lit(0)))
-    all_ = reached.agg(F.coalesce(F.sum("drawn_tokens"), F.lit(0)).alias("all_tokens"))
-    report = report.crossJoin(F.broadcast(all_)).withColumn("share", F.when(F.col("all_tokens") > 0, F.col("drawn_tokens") / F.col("all_tokens")).otherwise(0.0))  # one row beside each target
+    # a window over one row for each target
+    every_token = F.sum("drawn_tokens").over(W.Window.partitionBy(F.lit(1)))
+    report = report.withColumn("share", F.when(every_token > 0, F.col("drawn_tokens") / every_token).otherwise(0.0))
     return Mixture(got, report.select("source", "target_share", "share", "max_repeats", "most_copies", "documents", "tokens", "drawn_tokens"))
