@@ -101,14 +101,16 @@ def _keys(text: str, radius: int, member: bool) -> set[str]:
 
 
 def radius_join(strings: DataFrame, radius: int = 1, sample: int = PIVOT_SAMPLE, pivots: int = PIVOTS, scratch: Scratch | None = None) -> DataFrame:
-    """a, b, distance: all pairs a < b of different values of the column `s` of `strings` within `radius`.
+    """a, b, distance: all pairs a < b of different values of the column `s` of `strings` within `radius`; with a column
+    `visits`, those pairs of which at least one visits.
 
     Exact for every radius; null and empty values have no partners, repeated values count once. Work inside a ring is
     spread over what is left after deletions, so that a crowded cell is no single task's.
     """
     spark = strings.sparkSession
     scratch = scratch or Scratch(spark)
-    all_ = scratch.keep(strings.select("s").where("length(s) > 0").distinct())
+    visits = F.col("visits") if "visits" in strings.columns else F.lit(True)
+    all_ = scratch.keep(strings.where("length(s) > 0").groupBy("s").agg(F.max(visits).alias("visits")))
     drawn = [r.s for r in all_.select("s", F.xxhash64("s").alias("h")).orderBy("h").limit(sample).collect()]
     sent = spark.sparkContext.broadcast(choose_pivots(drawn, pivots, 2 * radius))
 
@@ -116,9 +118,9 @@ def radius_join(strings: DataFrame, radius: int = 1, sample: int = PIVOT_SAMPLE,
         for pdf in batches:
             texts = pdf.s.tolist()
             d = distances(sent.value, texts) if texts else np.zeros((0, 1), np.int32)
-            yield pd.DataFrame({"s": texts, "pivot": d.argmin(axis=1), "ring": d.min(axis=1), "d": list(d.astype(np.int16).tolist())})
+            yield pd.DataFrame({"s": texts, "visits": pdf["visits"], "pivot": d.argmin(axis=1), "ring": d.min(axis=1), "d": list(d.astype(np.int16).tolist())})
 
-    placed = scratch.keep(all_.mapInPandas(belong, "s string, pivot int, ring int, d array<short>"))
+    placed = scratch.keep(all_.mapInPandas(belong, "s string, visits boolean, pivot int, ring int, d array<short>"))
     rings = spark.sparkContext.broadcast({(r.pivot, r.ring) for r in placed.select("pivot", "ring").distinct().collect()})  # pivots x lengths at most
 
     def come(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,18 +134,17 @@ def radius_join(strings: DataFrame, radius: int = 1, sample: int = PIVOT_SAMPLE,
             if len(pdf):
                 d = np.array(pdf["d"].tolist(), int)[:, ps]
                 there = (np.abs(d - ks) <= radius) & (ks <= pdf["ring"].to_numpy()[:, None] + radius)
-                for s, own, ring, places in zip(pdf["s"], pdf["pivot"], pdf["ring"], there):
-                    visit, stay = _keys(s, radius, False), _keys(s, radius, True)
-                    for i in np.flatnonzero(places):
-                        home = ps[i] == own and ks[i] == ring
-                        rows += [(int(ps[i]), int(ks[i]), x, s, False) for x in visit]
-                        rows += [(int(ps[i]), int(ks[i]), x, s, True) for x in (stay if home else ())]
+                for s, goes, own, ring, places in zip(pdf["s"], pdf["visits"], pdf["pivot"], pdf["ring"], there):
+                    rows += [(int(own), int(ring), x, s, True) for x in _keys(s, radius, True)]
+                    if goes:
+                        rest = _keys(s, radius, False)
+                        rows += [(int(ps[i]), int(ks[i]), x, s, False) for i in np.flatnonzero(places) for x in rest]
             yield pd.DataFrame(rows, columns=["pivot", "ring", "left", "s", "member"])
 
     # a name crosses the exchange as a hash of cell and remainder; the strings themselves are compared afterwards
-    visits = placed.mapInPandas(come, "pivot int, ring int, left string, s string, member boolean").select(F.xxhash64("pivot", "ring", "left").alias("cell"), "s", "member")
-    visits = scratch.keep(visits)
-    members = visits.where("member").select("cell", F.col("s").alias("x"))
-    met = members.join(visits.where("not member").select("cell", F.col("s").alias("y")), "cell").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    came = placed.mapInPandas(come, "pivot int, ring int, left string, s string, member boolean").select(F.xxhash64("pivot", "ring", "left").alias("cell"), "s", "member")
+    came = scratch.keep(came)
+    members = came.where("member").select("cell", F.col("s").alias("x"))
+    met = members.join(came.where("not member").select("cell", F.col("s").alias("y")), "cell").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     near = met.withColumn("distance", F.levenshtein("a", "b", radius)).where(F.col("distance").between(0, radius))
     return near.distinct()

@@ -289,12 +289,13 @@ def variants(names: DataFrame, titles: list[str] = (), scratch: Scratch | None =
             out = []
             for kind, name in zip(pdf.kind, pdf.name):
                 r = read_person(name, before) if kind == "person" else read_organisation(name, known)
-                out += [(kind, name, sort, kind[0] + form) for sort, forms in (("full", r.full), ("ask", r.asks), ("offer", r.offers - r.asks)) for form in sorted(forms)]
-            yield pd.DataFrame(out, columns=["kind", "name", "sort", "form"])
+                lead = min(r.full, default=None)  # one order of the parts looks for others, which are there in all orders
+                out += [(kind, name, sort, kind[0] + form, form == lead) for sort, forms in (("full", r.full), ("ask", r.asks), ("offer", r.offers - r.asks)) for form in sorted(forms)]
+            yield pd.DataFrame(out, columns=["kind", "name", "sort", "form", "lead"])
 
-    forms = scratch.keep(rows.mapInPandas(read, "kind string, name string, sort string, form string"))
-    full = scratch.keep(forms.where("sort = 'full'").select("form", "name", "kind").distinct())
-    different = full.select(F.col("form").alias("s")).distinct()
+    forms = scratch.keep(rows.mapInPandas(read, "kind string, name string, sort string, form string, lead boolean"))
+    full = scratch.keep(forms.where("sort = 'full'").select("form", "name", "kind", "lead").distinct())
+    different = full.groupBy(F.col("form").alias("s")).agg(F.max("lead").alias("visits"))
     near = metric.radius_join(different, 1, scratch=scratch).select("a", "b")
     letters = different.withColumn("bag", F.array_join(F.array_sort(F.split("s", "")), ""))
     swapped = letters.alias("p").join(letters.alias("q"), F.col("p.bag") == F.col("q.bag")).where("p.s < q.s").select(F.col("p.s").alias("a"), F.col("q.s").alias("b")).where(F.levenshtein("a", "b", 2) == 2)

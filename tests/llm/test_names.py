@@ -37,6 +37,9 @@ def test_radius_join_is_exact(spark, monkeypatch, radius):
     got = {(x.a, x.b) for x in metric.radius_join(df, radius, sample=40, pivots=8).collect()}
     assert got == {(a, b) for a in words for b in words if a < b and distance(a, b) <= radius}
     assert metric.radius_join(df.limit(0), radius).count() == 0
+    some = df.withColumn("visits", F.length("s") % 2 == 0)
+    seen = {(x.a, x.b) for x in metric.radius_join(some, radius, sample=40, pivots=8).collect()}
+    assert seen == {(a, b) for a, b in got if len(a) % 2 == 0 or len(b) % 2 == 0}
 
 
 def test_components(spark):
