@@ -10,11 +10,11 @@ import __spark_entry__ as entry
 from noticeloom.plans import core, reference
 
 FOLDER = os.environ.get("NOTICELOOM_DATA", "/root/testdata/sf0.001")
-TABLES = "pdfs layouts parser_versions personnel_sections raw_records gold_records knowledge_items jobs documents eval_items doc_labels mix_targets deleted_rows".split()
+TABLES = "pdfs layouts parser_versions personnel_sections raw_records gold_records knowledge_items jobs documents events eval_items doc_labels mix_targets deleted_rows".split()
 
 
 def plain(v):
-    if v is None or v != v or str(v) in ("NaT", "<NA>"):
+    if v is None or str(v) in ("NaT", "<NA>", "nan"):
         return None
     if isinstance(v, float):
         return round(v, 9) if not math.isnan(v) else None
