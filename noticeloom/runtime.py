@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,3 +83,21 @@ def apart(df: DataFrame, names: list[str]) -> DataFrame:
             new += "_in"
         out.append(new)
     return df.toDF(*out)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors, once for each application, through the shared folder; they need not have it."""
+    context = spark.sparkContext
+    if getattr(context, "_noticeloom", None):
+        return
+    package = Path(__file__).resolve().parent
+    made = Path(tempfile.mkdtemp(prefix="noticeloom-")) / "noticeloom.zip"
+    with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(f"{scratch_folder(spark)}/code-{uuid.uuid4().hex}/noticeloom.zip")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).copyFromLocalFile(True, hadoop.Path(made.as_uri()), place)
+    shutil.rmtree(made.parent, ignore_errors=True)
+    context.addPyFile(place.toString())
+    context._noticeloom = place.toString()
