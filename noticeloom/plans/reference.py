@@ -196,7 +196,7 @@ _NUMBERED = f"SELECT *, row_number() OVER (PARTITION BY person_key, effective_da
 
 
 def _facts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "gold_records").where("person_key <> '氏名非公表'").select("id", "person_key", "effective_date", "created_at").distinct()
+    return table(spark, folder, "gold_records").select("id", "person_key", "effective_date", "created_at").distinct()
 
 
 @query(f"SELECT id, CAST(version AS INTEGER) AS version FROM ({_NUMBERED})")
