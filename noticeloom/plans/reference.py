@@ -471,7 +471,7 @@ _SUMS = ", ".join(f"sum(('0x' || substr(h, {1 + 15 * i}, 15))::BIGINT)::DECIMAL(
 @query(f"""SELECT n, sha256(n || ':' || s0 || ':' || s1 || ':' || s2 || ':' || s3) AS content_hash FROM (SELECT count(*) AS n, {_SUMS} FROM (
 SELECT sha256(concat_ws('|', appointment_type, coalesce(effective_date::VARCHAR, '\\N'), id::VARCHAR, coalesce(person_key, '\\N'), coalesce(superseded_by::VARCHAR, '\\N'))) AS h FROM gold_records))""")
 def export_content_hash(spark: SparkSession, folder: str) -> DataFrame:
-    return export.content_hash(table(spark, folder, "gold_records").select("appointment_type", "effective_date", "id", "person_key", "superseded_by"))
+    return export.content_hash(export.flatten(table(spark, folder, "gold_records")))
 
 
 # --- operations ---------------------------------------------------------------------------------------------------------

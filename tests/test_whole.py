@@ -29,3 +29,17 @@ def test_withheld_and_missing_names_get_versions(spark, tmp_path):
     assert {r.id: r.version for r in reference.next_version(spark, folder).collect()} == {1: 1, 2: 2, 3: 1, 4: 1, 5: 2}
     assert {r.id: (r.superseded_by, r.is_current) for r in reference.scd2_history(spark, folder).collect()} == {1: (2, False), 2: (None, True), 3: (None, True), 4: (5, False), 5: (None, True)}
     assert {r.id for r in reference.scd2_as_of(spark, folder).collect()} == {2, 3, 5}
+
+
+def test_export_hash_tells_every_exported_column(spark, tmp_path):
+    base = gold_row(1, "a", 1, fields='{"rank":{"value":"x","raw":"y"}}')
+    others = [
+        base,
+        gold_row(1, "a", 1, fields='{"rank":{"value":"z","raw":"y"}}'),
+        gold_row(1, "a", 1, fields='{"rank":{"value":"x","raw":"y"},"organization":{"value":"o","raw":"o"}}'),
+        gold_row(1, "a", 1, fields='{"rank":{"value":"x","raw":"y"}}', version=2),
+        gold_row(1, "a", 1, fields='{"rank":{"value":"x","raw":"y"}}', is_current=0),
+        gold_row(1, "b", 1, fields='{"rank":{"value":"x","raw":"y"}}'),
+    ]
+    hashes = {reference.export_content_hash(spark, stored(spark, tmp_path / str(i), [row])).first().content_hash for i, row in enumerate(others)}
+    assert len(hashes) == len(others)
