@@ -13,8 +13,8 @@ WITHHELD = "氏名非公表"
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     gold = table(spark, folder, "gold_records").select("id", "superseded_by")
-    ends = hierarchy.roots_and_depths(gold, "id", "superseded_by")
-    return ends.join(gold.where("superseded_by is not null").select("id").distinct(), "id", "left_semi").select("id", "root_id", F.col("depth").cast("int").alias("depth"))
+    sets = hierarchy.nested_sets(gold, "id", "superseded_by", path=False)
+    return sets.join(gold.where("superseded_by is not null").select("id").distinct(), "id", "left_semi").select("id", "root_id", F.col("depth").cast("int").alias("depth"))
 
 
 def p2_paths(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from noticeloom.plans import reference
+from noticeloom.plans import core, reference
 
 WITHHELD = "氏名非公表"
 GOLD = (
@@ -43,3 +43,13 @@ def test_export_hash_tells_every_exported_column(spark, tmp_path):
     ]
     hashes = {reference.export_content_hash(spark, stored(spark, tmp_path / str(i), [row])).first().content_hash for i, row in enumerate(others)}
     assert len(hashes) == len(others)
+
+
+def test_p2_found_numbers_the_nested_sets(spark, tmp_path, monkeypatch):
+    made, nested_sets = [], core.hierarchy.nested_sets
+    monkeypatch.setattr(core.hierarchy, "nested_sets", lambda *a, **k: made.append(nested_sets(*a, **k)) or made[-1])
+    up = {1: 2, 2: 3, 3: None, 4: 3, 5: 99, 6: 7, 7: 6, 8: 6}
+    folder = stored(spark, tmp_path, [gold_row(i, "a", 1, superseded_by=p) for i, p in up.items()])
+    got = {r.id: (r.root_id, r.depth) for r in core.p2_found(spark, folder).collect()}
+    assert got == {1: (3, 2), 2: (3, 1), 4: (3, 1), 5: (5, 0), 6: (6, -1), 7: (6, -1), 8: (6, -1)}
+    assert {r.id: r.n_descendants for r in made[0].where("lo is not null").collect()} == {1: 0, 2: 1, 3: 3, 4: 0, 5: 0}
