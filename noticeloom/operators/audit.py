@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from ..runtime import broadcast_if_small
 from . import hierarchy
@@ -23,6 +24,15 @@ def newer_not_active(rows: DataFrame, keys: list[str], active: Column, released:
     return a.join(b, keys).where(F.col("__b.at") > F.col("__a")).select("id_active", F.col("__b.id").alias("id_newer"))
 
 
+def newer_counts(rows: DataFrame, keys: list[str], active: Column, released: str, id_col: str = "id") -> DataFrame:
+    """id_active, n_newer: how many inactive rows of the same keys were released later than each row of newer_not_active()."""
+    whole = rows.where(F.col(released).isNotNull()).dropna(subset=keys).select(*keys, F.col(id_col).alias("id_active"), F.col(released).alias("__at"), active.alias("__active"))
+    since = W.Window.partitionBy(*keys).orderBy(F.desc("__at")).rangeBetween(W.Window.unboundedPreceding, W.Window.currentRow)
+    idle = F.when(~F.col("__active"), 1).otherwise(0)
+    counted = whole.withColumn("n_newer", F.sum(idle).over(since) - F.sum(idle).over(W.Window.partitionBy(*keys, "__at")))
+    return counted.where(F.col("__active") & (F.col("n_newer") > 0)).select("id_active", "n_newer")
+
+
 def without_sibling(rows: DataFrame, keys: list[str], lone: Column, sibling: Column) -> DataFrame:
     """Rows for which `lone` holds and no row of the same keys has `sibling`."""
     return rows.where(lone).join(rows.where(sibling).select(*keys).distinct(), keys, "left_anti")

@@ -43,6 +43,17 @@ def overlaps(items: DataFrame, keys: list[str]) -> DataFrame:
     return met.select(*keys, "id", F.col("last.id").alias("earlier_id"))
 
 
+def overlap_counts(items: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, id, n_earlier: how many earlier items of its keys each row of overlaps() overlaps. Items and order as there:
+    the items begun before it less those ended by its start, in one pass over sorted starts and ends."""
+    start, end = F.coalesce("effective_from", F.lit("0001-01-01").cast("date")), F.coalesce("effective_to", F.lit("9999-12-31").cast("date"))
+    rows = items.dropDuplicates(["id"]).select(*keys, "id", start.alias("s"), end.alias("e")).where("s < e")
+    begun, ended = F.struct(F.col("s").alias("at"), F.lit(1).alias("open")), F.struct(F.col("e").alias("at"), F.lit(-1).alias("open"))
+    turns = rows.select(*keys, "id", F.explode(F.array(begun, ended)).alias("t")).select(*keys, "id", "t.*")
+    before = W.Window.partitionBy(*keys).orderBy("at", "open", "id").rowsBetween(W.Window.unboundedPreceding, -1)
+    return turns.withColumn("n_earlier", F.sum("open").over(before)).where("open = 1 and n_earlier > 0").select(*keys, "id", "n_earlier")
+
+
 def typography(value: Column, rules: list[tuple[int, str, str]]) -> Column:
     """(value, ids): all replacements of (id, key, canonical) in order, each on the outcome of the one before, and the ids
     of those whose key was there. The rules are a short list of the dictionary."""

@@ -183,6 +183,13 @@ def dictionary_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.overlaps(table(spark, folder, "knowledge_items"), ["category", "item_key"])
 
 
+@query("""WITH k AS (SELECT DISTINCT id, category, item_key, coalesce(effective_from, DATE '0001-01-01') AS s, coalesce(effective_to, DATE '9999-12-31') AS e FROM knowledge_items)
+SELECT b.category, b.item_key, b.id, count(*) AS n_earlier FROM k a JOIN k b ON a.category = b.category AND a.item_key = b.item_key AND (a.s, a.id) < (b.s, b.id) AND a.e > b.s WHERE a.s < a.e AND b.s < b.e GROUP BY 1, 2, 3""")
+def overlap_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The number of all links of which dictionary_overlaps gives one for each item."""
+    return lookup.overlap_counts(table(spark, folder, "knowledge_items"), ["category", "item_key"])
+
+
 @query("""WITH d AS (SELECT DISTINCT id, item_key, canonical_value, created_at FROM knowledge_items WHERE category = 'organization'),
 c AS (SELECT *, lag(canonical_value) OVER w AS was, row_number() OVER w AS n FROM d WINDOW w AS (PARTITION BY item_key ORDER BY created_at, id))
 SELECT item_key, canonical_value, created_at AS effective_from, lead(created_at) OVER (PARTITION BY item_key ORDER BY created_at, id) AS effective_to FROM c WHERE n = 1 OR was IS DISTINCT FROM canonical_value""")
@@ -297,6 +304,13 @@ def audit_newer_superseded(spark: SparkSession, folder: str) -> DataFrame:
     return audit.newer_not_active(_sections(spark, folder), _PLACE, F.col("status") == "parsed", "released_at")
 
 
+@query("""WITH s AS (SELECT s.id, pdf_id, section_index, status, released_at FROM personnel_sections s JOIN parser_versions v ON v.id = parser_version_id)
+SELECT a.id AS id_active, count(*) AS n_newer FROM s a JOIN s b USING (pdf_id, section_index) WHERE a.status = 'parsed' AND b.status <> 'parsed' AND b.released_at > a.released_at GROUP BY a.id""")
+def newer_superseded_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The number of all newer rows of which audit_newer_superseded gives the one released last."""
+    return audit.newer_counts(_sections(spark, folder), _PLACE, F.col("status") == "parsed", "released_at")
+
+
 @query("SELECT id FROM personnel_sections s WHERE status = 'superseded' AND NOT EXISTS (SELECT 1 FROM personnel_sections p WHERE p.pdf_id = s.pdf_id AND p.section_index = s.section_index AND p.status = 'parsed')")
 def audit_orphan_superseded(spark: SparkSession, folder: str) -> DataFrame:
     return audit.without_sibling(table(spark, folder, "personnel_sections"), _PLACE, F.col("status") == "superseded", F.col("status") == "parsed").select("id")

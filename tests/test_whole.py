@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from noticeloom.operators import audit, lookup
 from noticeloom.plans import core, reference
 
 WITHHELD = "氏名非公表"
@@ -53,3 +56,17 @@ def test_p2_found_numbers_the_nested_sets(spark, tmp_path, monkeypatch):
     got = {r.id: (r.root_id, r.depth) for r in core.p2_found(spark, folder).collect()}
     assert got == {1: (3, 2), 2: (3, 1), 4: (3, 1), 5: (5, 0), 6: (6, -1), 7: (6, -1), 8: (6, -1)}
     assert {r.id: r.n_descendants for r in made[0].where("lo is not null").collect()} == {1: 0, 2: 1, 3: 3, 4: 0, 5: 0}
+
+
+def test_every_overlap_is_counted(spark):
+    D = dt.date
+    rows = [(1, "k", None, None), (2, "k", D(2011, 1, 1), D(2012, 1, 1)), (3, "k", D(2011, 6, 1), D(2013, 1, 1)), (4, "k", D(2012, 1, 1), None), (5, "k", D(2012, 1, 1), D(2012, 1, 1)), (6, "j", None, None)]
+    df = spark.createDataFrame(rows + rows[:1], "id long, k string, effective_from date, effective_to date")
+    assert {r.id: r.n_earlier for r in lookup.overlap_counts(df, ["k"]).collect()} == {2: 1, 3: 2, 4: 2}
+
+
+def test_every_newer_row_is_counted(spark):
+    at = lambda d: dt.datetime(2020, 1, d)
+    rows = [(1, 1, "parsed", at(1)), (2, 1, "superseded", at(1)), (3, 1, "superseded", at(2)), (4, 1, "superseded", at(3)), (5, 1, "parsed", at(2)), (6, 2, "parsed", at(9)), (7, 2, "superseded", None)]
+    df = spark.createDataFrame(rows, "id long, doc long, status string, released timestamp_ntz")
+    assert {r.id_active: r.n_newer for r in audit.newer_counts(df, ["doc"], F.col("status") == "parsed", "released").collect()} == {1: 2, 5: 1}
