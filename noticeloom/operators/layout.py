@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 from ..functions import scoring, text
 
 RULES = "array<struct<rule_id:string,kind:string,value:string,weight:double>>"
+# The kinds of rules.
+KINDS = ("header_pattern", "footer_pattern", "min_page_count", "font_name_contains")
 
 
 def evidence(pages: DataFrame, doc: str = "doc_id", index: str = "page_index", body: str = "text") -> DataFrame:
     """One row for each document of `pages`: page_count, mean_chars, mean_lines, mean_blocks, header, footer.
 
     header is the first line of the first page, footer the last line of the last; null where that page is blank. Means
-    are over all pages. One exchange by document, to which every page brings counts and two lines.
+    are over all pages. Where pages have `fonts` (array of names), so has the result: the names of all pages, each once. One
+    exchange by document, to which every page brings counts and two lines.
     """
+    named = ["fonts"] if "fonts" in pages.columns else []
     found = text.lines(F.col(body))
-    page = pages.select(doc, F.col(index).alias("__i"), F.length(F.coalesce(F.col(body), F.lit(""))).alias("chars"), F.size(found).alias("lines"), F.size(text.blocks(F.col(body))).alias("blocks"), text.first(found).alias("first"), text.last(found).alias("last"))
+    page = pages.select(doc, F.col(index).alias("__i"), F.length(F.coalesce(F.col(body), F.lit(""))).alias("chars"), F.size(found).alias("lines"), F.size(text.blocks(F.col(body))).alias("blocks"), text.first(found).alias("first"), text.last(found).alias("last"), *named)
     return page.groupBy(doc).agg(
         F.count("*").alias("page_count"),
         F.avg("chars").alias("mean_chars"),
@@ -27,6 +31,7 @@ def evidence(pages: DataFrame, doc: str = "doc_id", index: str = "page_index", b
         F.avg("blocks").alias("mean_blocks"),
         F.min_by("first", "__i").alias("header"),
         F.max_by("last", "__i").alias("footer"),
+        *(F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in named),
     )
 
 
@@ -36,9 +41,10 @@ def first_seen_mode(values: Column) -> Column:
     return F.array_max(counts)["v"]
 
 
-def _matched(rule: Column, page_count: Column, header: Column, footer: Column) -> Column:
+def _matched(rule: Column, page_count: Column, header: Column, footer: Column, fonts: Column) -> Column:
     within = lambda where: F.coalesce(F.contains(where, rule["value"]), F.lit(False))
-    return F.when(rule["kind"] == "header_pattern", within(header)).when(rule["kind"] == "footer_pattern", within(footer)).when(rule["kind"] == "min_page_count", F.coalesce(page_count >= rule["value"].try_cast("int"), F.lit(False))).otherwise(F.lit(False))
+    any_font = F.coalesce(F.exists(fonts, within), F.lit(False))
+    return F.when(rule["kind"] == "header_pattern", within(header)).when(rule["kind"] == "footer_pattern", within(footer)).when(rule["kind"] == "min_page_count", F.coalesce(page_count >= rule["value"].try_cast("int"), F.lit(False))).when(rule["kind"] == "font_name_contains", any_font).otherwise(F.lit(False))
 
 
 def detect(found: DataFrame, layouts: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -46,13 +52,17 @@ def detect(found: DataFrame, layouts: DataFrame, doc: str = "doc_id") -> DataFra
 
     layouts: ordinal, layout_id, rules (array of rule_id, kind, value, weight), a manifest read from files; it goes into the
     plan as a constant, so that every document is scored where it is. The highest score wins, of equal ones the first
-    ordinal. Without a layout the score is 0.0 and the warning NO_MATCH.
+    ordinal. Without a layout the score is 0.0 and the warning NO_MATCH. Without `fonts` in `found` no font rule matches; a
+    rule of an unknown kind is an error.
     """
     manifest = [{"ordinal": r.ordinal, "layout_id": r.layout_id, "rules": [x.asDict() for x in r.rules]} for r in layouts.toLocalIterator()]
+    if unknown := {r["kind"] for m in manifest for r in m["rules"]} - set(KINDS):
+        raise ValueError(f"unknown kinds of rules: {sorted(unknown, key=str)}")
+    fonts = F.col("fonts") if "fonts" in found.columns else F.array().cast("array<string>")
     known = F.from_json(F.lit(json.dumps(manifest)), f"array<struct<ordinal:int,layout_id:string,rules:{RULES}>>")
 
     def scored(one: Column) -> Column:
-        tried = F.transform(one["rules"], lambda r: F.struct(_matched(r, F.col("page_count"), F.col("header"), F.col("footer")).alias("matched"), r["weight"].alias("weight")))
+        tried = F.transform(one["rules"], lambda r: F.struct(_matched(r, F.col("page_count"), F.col("header"), F.col("footer"), fonts).alias("matched"), r["weight"].alias("weight")))
         return F.struct(scoring.weighted_score(tried).alias("score"), (-one["ordinal"]).alias("first"), one["layout_id"].alias("layout_id"))
 
     top = found.withColumn("c", F.sort_array(F.transform(known, scored), asc=False))

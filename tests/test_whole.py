@@ -2,9 +2,10 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from noticeloom.operators import audit, lookup
+from noticeloom.operators import audit, layout, lookup
 from noticeloom.plans import core, reference
 
 WITHHELD = "氏名非公表"
@@ -70,3 +71,14 @@ def test_every_newer_row_is_counted(spark):
     rows = [(1, 1, "parsed", at(1)), (2, 1, "superseded", at(1)), (3, 1, "superseded", at(2)), (4, 1, "superseded", at(3)), (5, 1, "parsed", at(2)), (6, 2, "parsed", at(9)), (7, 2, "superseded", None)]
     df = spark.createDataFrame(rows, "id long, doc long, status string, released timestamp_ntz")
     assert {r.id_active: r.n_newer for r in audit.newer_counts(df, ["doc"], F.col("status") == "parsed", "released").collect()} == {1: 2, 5: 1}
+
+
+def test_font_rules_score(spark):
+    rules = [("h", "header_pattern", "H", 0.5), ("m", "font_name_contains", "Mincho", 0.5)]
+    manifest = lambda r: spark.createDataFrame([(0, "a", r)], f"ordinal int, layout_id string, rules {layout.RULES}")
+    pages = spark.createDataFrame([(1, 0, "H", ["Gothic"]), (1, 1, "x", ["MS-Mincho", None]), (2, 0, "H", ["Gothic"]), (3, 0, "H", None)], "doc_id int, page_index int, text string, fonts array<string>")
+    score = lambda found: {r.doc_id: (r.layout_id, r.score) for r in layout.detect(found, manifest(rules)).collect()}
+    assert score(layout.evidence(pages)) == {1: ("a", 1.0), 2: (None, 0.5), 3: (None, 0.5)}
+    assert score(layout.evidence(pages.drop("fonts"))) == {1: (None, 0.5), 2: (None, 0.5), 3: (None, 0.5)}
+    with pytest.raises(ValueError):
+        layout.detect(layout.evidence(pages), manifest([("z", "colour", "red", 1.0)]))
