@@ -194,8 +194,8 @@ def overlap_counts(spark: SparkSession, folder: str) -> DataFrame:
 c AS (SELECT *, lag(canonical_value) OVER w AS was, row_number() OVER w AS n FROM d WINDOW w AS (PARTITION BY item_key ORDER BY created_at, id))
 SELECT item_key, canonical_value, created_at AS effective_from, lead(created_at) OVER (PARTITION BY item_key ORDER BY created_at, id) AS effective_to FROM c WHERE n = 1 OR was IS DISTINCT FROM canonical_value""")
 def type2_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    deliveries = table(spark, folder, "knowledge_items").where("category = 'organization'").select("id", "item_key", "canonical_value", "created_at").distinct()
-    return versions.type2(deliveries, ["item_key"], ["canonical_value"], F.col("created_at"), [F.col("id")])
+    deliveries = table(spark, folder, "knowledge_items").select("id", "category", "item_key", "canonical_value", "created_at").distinct()
+    return versions.type2(deliveries, ["category", "item_key"], ["canonical_value"], F.col("created_at"), [F.col("id")])
 
 
 _FACTS = "SELECT DISTINCT id, person_key, effective_date, created_at FROM gold_records WHERE person_key <> '氏名非公表'"

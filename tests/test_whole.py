@@ -82,3 +82,11 @@ def test_font_rules_score(spark):
     assert score(layout.evidence(pages.drop("fonts"))) == {1: (None, 0.5), 2: (None, 0.5), 3: (None, 0.5)}
     with pytest.raises(ValueError):
         layout.detect(layout.evidence(pages), manifest([("z", "colour", "red", 1.0)]))
+
+
+def test_every_category_is_versioned(spark, tmp_path):
+    at = lambda d: dt.datetime(2020, 1, d)
+    rows = [(1, "rank", "k", "a", at(1)), (2, "organization", "k", "b", at(2)), (3, "rank", "k", "a", at(3)), (4, "rank", "k", "c", at(4)), (4, "rank", "k", "c", at(4))]
+    spark.createDataFrame(rows, "id long, category string, item_key string, canonical_value string, created_at timestamp_ntz").write.parquet(str(tmp_path / "knowledge_items.parquet"))
+    got = {(r.category, r.canonical_value, r.effective_from, r.effective_to) for r in reference.type2_upsert(spark, str(tmp_path)).collect()}
+    assert got == {("rank", "a", at(1), at(4)), ("rank", "c", at(4), None), ("organization", "b", at(2), None)}
