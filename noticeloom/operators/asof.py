@@ -69,7 +69,8 @@ class _Timeline:
         for lo, hi in zip([0, *cuts], [*cuts, self.days]):
             if (i := self.item[lo]) >= 0:
                 x = self.items[i]
-                out.append({"day_from": self.first + dt.timedelta(int(lo)), "day_to": self.first + dt.timedelta(int(hi)), "item_id": x[0], "item_value": x[1], "item_from": x[2], "item_known": x[4]})
+                until = None if hi == self.days and self.first.year == dt.MAXYEAR else self.first + dt.timedelta(int(hi))
+                out.append({"day_from": self.first + dt.timedelta(int(lo)), "day_to": until, "item_id": x[0], "item_value": x[1], "item_from": x[2], "item_known": x[4]})
         return out
 
 
@@ -122,22 +123,19 @@ def as_known(events: DataFrame, items: DataFrame, *, key: tuple[str, str], event
     key: (event column, item column). Of several items the latest start counts (null = earliest), then the one known
     last, then the greatest id. Items with null key, id or time of becoming known are never known; identical rows count
     once; validity that ends before it begins never holds. Events with null key, date or time get nulls. Columns of
-    `events` named item_id or item_value come out as item_id_in and item_value_in. Validity is cut to the years in which
-    events fall.
+    `events` named item_id or item_value come out as item_id_in and item_value_in. States are made for the years in which
+    events of a key fall, and only for those; days outside the years 1 to 9999 have no item.
     """
     spark = events.sparkSession
     whole = dict(zip(events.columns, apart(events, ["item_id", "item_value"]).columns))
     rows = events.select(F.struct("*").alias("row"), F.col(key[0]).cast("string").alias("key"), F.col(event_date).cast("date").alias("on"), F.col(event_known).cast("timestamp_ntz").alias("at"))
     usable = rows.where("key is not null and on is not null and at is not null")
     scratch = Scratch(spark)
-    first, last, newest = usable.agg(F.min(F.year("on")), F.max(F.year("on")), F.max(_period(F.col("at"), months))).first()
+    asked_for = usable.groupBy("key", F.year("on").alias("year")).agg(F.max(_period(F.col("at"), months)).alias("newest")).where("year between 1 and 9999")
     known = items.select(F.col(key[1]).cast("string").alias("key"), F.col(item_id).cast("long").alias("item_id"), F.col(item_value).cast("string").alias("item_value"), F.col(valid[0]).cast("date").alias("item_from"), F.col(valid[1]).cast("date").alias("item_to"), F.col(item_known).cast("timestamp_ntz").alias("item_known"))
     known = known.where("key is not null and item_id is not null and item_known is not null and (item_from is null or item_to is null or item_from < item_to)").distinct()
-    if first is None:
-        first, last, newest = 1, 0, 0
-    known = known.withColumn("period", _period(F.col("item_known"), months)).where(F.col("period") <= newest)
-    lo, hi = F.greatest(F.coalesce(F.year("item_from"), F.lit(first)), F.lit(first)), F.least(F.coalesce(F.year("item_to"), F.lit(last)), F.lit(last))
-    yearly = known.withColumn("lo", lo).withColumn("hi", hi).where("lo <= hi").withColumn("year", F.explode(F.sequence("lo", "hi"))).drop("lo", "hi")
+    known = known.withColumn("period", _period(F.col("item_known"), months))
+    yearly = known.join(asked_for, "key").where("period <= newest and (item_from is null or year(item_from) <= year) and (item_to is null or year <= year(item_to))").drop("newest")
     states = yearly.repartition("key", "year").sortWithinPartitions("key", "year", "item_known", "item_id").mapInPandas(_states(months), _STATE)
     states = broadcast_if_small(scratch.keep(states), broadcast_bytes)
     asked = rows.withColumn("year", F.year("on"))
@@ -145,7 +143,7 @@ def as_known(events: DataFrame, items: DataFrame, *, key: tuple[str, str], event
     met = asked.join(states.select(*(F.col(c).alias(f"s_{c}") for c in states.columns)), (F.col("key") == F.col("s_key")) & (F.col("year") == F.col("s_year")) & holds(F.col("s_starts"), F.col("s_ends")), "left")
     met = met.withColumn("s", F.try_element_at(F.filter("s_states", lambda x: holds(x["starts"], x["ends"])), F.lit(1)))
     order = lambda x: F.struct(F.coalesce(F.datediff(x["item_from"], F.lit("1970-01-01")), F.lit(-(1 << 30))), x["item_known"], x["item_id"], x["item_value"])
-    then = F.transform(F.filter("s.snapshot", lambda x: (x["day_from"] <= F.col("on")) & (F.col("on") < x["day_to"])), order)
+    then = F.transform(F.filter("s.snapshot", lambda x: (x["day_from"] <= F.col("on")) & (x["day_to"].isNull() | (F.col("on") < x["day_to"]))), order)
     since = F.transform(F.filter("s.changes", lambda x: (x["item_known"] <= F.col("at")) & (x["item_from"].isNull() | (x["item_from"] <= F.col("on"))) & (x["item_to"].isNull() | (F.col("on") < x["item_to"]))), order)
     best = F.array_max(F.concat(then, since))
     return met.select("row", best.alias("best")).select(*(F.col("row")[c].alias(new) for c, new in whole.items()), F.col("best.item_id").alias("item_id"), F.col("best.item_value").alias("item_value"))

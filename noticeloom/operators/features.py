@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -43,3 +47,20 @@ def checksum(*parts: Column) -> Column:
 def in_range(rates: Column) -> Column:
     """The entries of a map of features, named *_rate or *_confidence, that are outside [0, 1]."""
     return F.map_filter(rates, lambda k, v: (k.endswith("_rate") | k.endswith("_confidence")) & ~v.between(0, 1))
+
+
+def sequence_checksum(rows: DataFrame, parts: list[Column], order: list[str]) -> DataFrame:
+    """n and checksum: one SHA-256 over all rows in their order, each part ended by a NUL; null parts count as empty. A
+    digest of a sequence is sequential, so one task reads the sorted rows as a stream and holds none of them."""
+    ended = F.concat(*(F.concat(F.coalesce(p, F.lit("")), F.lit("\0")) for p in parts))
+
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = hashlib.sha256(), 0
+        for pdf in batches:
+            n += len(pdf)
+            for text in pdf["text"]:
+                total.update(text.encode("utf-8", "surrogatepass"))
+        yield pd.DataFrame({"n": [n], "checksum": [total.hexdigest()]})
+
+    texts = rows.select(*order, ended.alias("text")).repartition(1).sortWithinPartitions(*order).select("text")
+    return texts.mapInPandas(digest, "n long, checksum string")

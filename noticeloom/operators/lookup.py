@@ -75,13 +75,13 @@ def normalize(records: DataFrame, items: DataFrame, at: Column, record: str = "r
     """record, normalized_fields, score, band and applied ids of the records that score at least `keep`.
 
     A value is brought to its compatibility form, then through the typography rules in the order of the dictionary, then
-    looked up in the category of its semantic name; the first item in force at `at` counts. Fields that come out empty are
+    looked up in the category of its semantic name; of these and of what a column means, the first item in force at `at` counts. Fields that come out empty are
     left out; repeated records count once. Score of a record: mean over its fields of 1.0 (looked up), 0.6 (typography) or 0.3 (as it was).
     """
     valid = items.where(in_force(F.col("effective_from"), F.col("effective_to"), at))
     rules = [(r.id, r.item_key, r.canonical_value) for r in valid.where("category = 'typography'").dropDuplicates(["id"]).orderBy("ordinal", "id").toLocalIterator()]
     kind = F.create_map(*(F.lit(x) for pair in CATEGORY.items() for x in pair))
-    rows = fields(records.dropDuplicates([record]), items, record, layout).withColumn("t", typography(text.nfkc(F.col("raw")), rules)).where("t.value <> ''")
+    rows = fields(records.dropDuplicates([record]), valid, record, layout).withColumn("t", typography(text.nfkc(F.col("raw")), rules)).where("t.value <> ''")
     words = valid.where(F.col("category").isin(list(CATEGORY.values()))).groupBy(F.col("category").alias("c"), F.col("item_key").alias("k")).agg(F.min_by(F.struct("canonical_value", "id"), F.struct("ordinal", "id")).alias("hit"))
     coded = rows.withColumn("c", F.try_element_at(kind, F.col("semantic"))).withColumn("k", F.col("t.value"))
     met = coded.join(broadcast_if_small(words), ["c", "k"], "left")

@@ -47,9 +47,10 @@ def orphans(child: DataFrame, parent: DataFrame, keys: list[tuple[str, str]], ma
         on = [k for k, null in zip(mine, nulls) if not null]
         # an undated parent counts as having been there always: it sorts before every date
         there = known.dropna(subset=on).groupBy(*on).agg(F.min("__from").alias("__from"), F.max(F.col("__from").isNull()).alias("__always"))
-        met = group.join(broadcast_if_small(there), on, "left")
-        reason = F.when(F.col("__always").isNull(), "missing").when(~F.col("__always") & (F.col("__from") > F.col("__at")), "later")
-        found.append(met.select(*child.columns, reason.alias("reason")).where("reason is not null"))
+        found.append(group.join(broadcast_if_small(there.select(*on)), on, "left_anti").select(*child.columns, F.lit("missing").alias("reason")))
+        if times:  # only what has a parent, and one that was not always there
+            met = group.where("__at is not null").join(broadcast_if_small(there.where(~F.col("__always"))), on).where("__from > __at")
+            found.append(met.select(*child.columns, F.lit("later").alias("reason")))
     if not found:
         return child.select("*", F.lit("missing").alias("reason")).limit(0)
     out = found[0]

@@ -190,15 +190,15 @@ def overlap_counts(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.overlap_counts(table(spark, folder, "knowledge_items"), ["category", "item_key"])
 
 
-@query("""WITH d AS (SELECT DISTINCT id, item_key, canonical_value, created_at FROM knowledge_items WHERE category = 'organization'),
-c AS (SELECT *, lag(canonical_value) OVER w AS was, row_number() OVER w AS n FROM d WINDOW w AS (PARTITION BY item_key ORDER BY created_at, id))
-SELECT item_key, canonical_value, created_at AS effective_from, lead(created_at) OVER (PARTITION BY item_key ORDER BY created_at, id) AS effective_to FROM c WHERE n = 1 OR was IS DISTINCT FROM canonical_value""")
+@query("""WITH d AS (SELECT DISTINCT id, category, item_key, canonical_value, created_at FROM knowledge_items),
+c AS (SELECT *, lag(canonical_value) OVER w AS was, row_number() OVER w AS n FROM d WINDOW w AS (PARTITION BY category, item_key ORDER BY created_at, id))
+SELECT category, item_key, canonical_value, created_at AS effective_from, lead(created_at) OVER (PARTITION BY category, item_key ORDER BY created_at, id) AS effective_to FROM c WHERE n = 1 OR was IS DISTINCT FROM canonical_value""")
 def type2_upsert(spark: SparkSession, folder: str) -> DataFrame:
     deliveries = table(spark, folder, "knowledge_items").select("id", "category", "item_key", "canonical_value", "created_at").distinct()
     return versions.type2(deliveries, ["category", "item_key"], ["canonical_value"], F.col("created_at"), [F.col("id")])
 
 
-_FACTS = "SELECT DISTINCT id, person_key, effective_date, created_at FROM gold_records WHERE person_key <> '氏名非公表'"
+_FACTS = "SELECT DISTINCT id, person_key, effective_date, created_at FROM gold_records"
 _NUMBERED = f"SELECT *, row_number() OVER (PARTITION BY person_key, effective_date ORDER BY created_at, id) AS version FROM ({_FACTS})"
 
 
@@ -482,8 +482,12 @@ def export_flatten(spark: SparkSession, folder: str) -> DataFrame:
 _SUMS = ", ".join(f"sum(('0x' || substr(h, {1 + 15 * i}, 15))::BIGINT)::DECIMAL(38,0)::VARCHAR AS s{i}" for i in range(4))
 
 
-@query(f"""SELECT n, sha256(n || ':' || s0 || ':' || s1 || ':' || s2 || ':' || s3) AS content_hash FROM (SELECT count(*) AS n, {_SUMS} FROM (
-SELECT sha256(concat_ws('|', appointment_type, coalesce(effective_date::VARCHAR, '\\N'), id::VARCHAR, coalesce(person_key, '\\N'), coalesce(superseded_by::VARCHAR, '\\N'))) AS h FROM gold_records))""")
+def _hash_sql(columns: list[str], rows: str) -> str:
+    text = ", ".join(f"coalesce(replace(replace({c}::VARCHAR, chr(92), chr(92) || chr(92)), '|', chr(92) || '|'), chr(92) || 'N')" for c in sorted(columns))
+    return f"SELECT n, sha256(n || ':' || s0 || ':' || s1 || ':' || s2 || ':' || s3) AS content_hash FROM (SELECT count(*) AS n, {_SUMS} FROM (SELECT sha256(concat_ws('|', {text})) AS h FROM ({rows})))"
+
+
+@query(_hash_sql(export.COLUMNS, _FLAT))
 def export_content_hash(spark: SparkSession, folder: str) -> DataFrame:
     return export.content_hash(export.flatten(table(spark, folder, "gold_records")))
 
@@ -577,11 +581,14 @@ def storage_paths(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pdfs").select("id", F.concat(F.substring(h, 1, 2), F.lit("/"), F.substring(h, 3, 2), F.lit("/"), h, F.lit(".pdf")).alias("stored_as"), F.coalesce(F.parse_url("source_url", F.lit("PROTOCOL")).isin("http", "https"), F.lit(False)).alias("allowed"))
 
 
-@query(f"""SELECT n, sha256(n || ':' || s0 || ':' || s1 || ':' || s2 || ':' || s3) AS content_hash FROM (SELECT count(*) AS n, {_SUMS} FROM (
-SELECT sha256(concat_ws('|', canonical_value, category, id::VARCHAR, item_key)) AS h FROM (SELECT DISTINCT id, category, item_key, canonical_value FROM knowledge_items WHERE {_IN_FORCE})))""")
+@query(f"""SELECT count(*) AS n, sha256(coalesce(string_agg(source_file || chr(0) || category || chr(0) || item_key || chr(0) || canonical_value || chr(0) || version || chr(0), '' ORDER BY ordinal, id), '')) AS checksum
+FROM (SELECT DISTINCT id, source_file, category, item_key, canonical_value, version, ordinal FROM knowledge_items WHERE {_IN_FORCE})""")
 def snapshot_checksum(spark: SparkSession, folder: str) -> DataFrame:
-    """One checksum of the dictionary in force, whatever the order of its files."""
-    return export.content_hash(lookup.effective(table(spark, folder, "knowledge_items"), _day(AS_OF)).select("id", "category", "item_key", "canonical_value").distinct())
+    """One checksum of the dictionary in force, in its order."""
+    items = lookup.effective(table(spark, folder, "knowledge_items"), _day(AS_OF))
+    columns = ("source_file", "category", "item_key", "canonical_value", "version")
+    rows = items.select("id", "ordinal", *columns).distinct()
+    return features.sequence_checksum(rows, [F.col(c).cast("string") for c in columns], ["ordinal", "id"])
 
 
 @query("""SELECT event_type, time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS start, count(*) AS n FROM events GROUP BY 1, 2""")

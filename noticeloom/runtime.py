@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -19,9 +20,12 @@ BROADCAST_BYTES = 3 << 20
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir, and only where that is unset a folder of our own."""
+    """The shared folder for intermediate tables: spark.checkpoint.dir, and only where that is unset a folder of our own. A
+    cluster must name one, since its executors do not share a folder of this machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="noticeloom-")
         atexit.register(shutil.rmtree, shared, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", shared)

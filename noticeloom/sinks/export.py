@@ -12,7 +12,7 @@ COLUMNS = (
     "id person_value person_raw rank_value rank_raw organization_value organization_raw position_value position_raw appointment_type effective_date"
     " version is_current superseded_by source_pdf_content_hash source_pdf_source_url source_pdf_published_date parser_version layout_era_id confidence_score confidence_band"
 ).split()
-#: Results that may be written as one JSON array.
+#: Results that json_array() may hold in one row; write_json_array() has no bound.
 ARRAY_ROWS = 100_000
 
 
@@ -43,8 +43,9 @@ def flatten(gold: DataFrame) -> DataFrame:
 
 def content_hash(rows: DataFrame) -> DataFrame:
     """n and content_hash of the rows whatever their order and files: sums of pieces of each row's SHA-256, hashed. The
-    sums combine map-side, so nothing is sorted or gathered; rows repeated count each time."""
-    texts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in sorted(rows.columns)]
+    sums combine map-side, so nothing is sorted or gathered; rows repeated count each time. Values are joined with bars;
+    bars and backslashes within them are escaped, null is \\N."""
+    texts = [F.coalesce(F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")), F.lit("\\N")) for c in sorted(rows.columns)]
     digest = rows.select(F.sha2(F.concat_ws("|", *texts), 256).alias("h"))
     pieces = [F.sum(F.conv(F.substring("h", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).alias(f"s{i}") for i in range(4)]
     summed = digest.agg(F.count("*").alias("n"), *pieces)
@@ -63,12 +64,38 @@ def write_json(rows: DataFrame, path: str) -> None:
 
 
 def json_array(rows: DataFrame) -> DataFrame:
-    """One row: the whole result as one JSON array, for results of at most ARRAY_ROWS rows; larger ones are an error."""
+    """One row: the whole result as one JSON array, for answers of at most ARRAY_ROWS rows; larger ones are an error and
+    belong to write_json_array()."""
     if rows.limit(ARRAY_ROWS + 1).count() > ARRAY_ROWS:
-        raise ValueError(f"more than {ARRAY_ROWS} rows; use write_json")
+        raise ValueError(f"more than {ARRAY_ROWS} rows; use write_json_array")
     return rows.agg(F.to_json(F.array_sort(F.collect_list(F.struct("*"))), {"ignoreNullFields": "false"}).alias("json"))
 
 
+def write_json_array(rows: DataFrame, path: str) -> None:
+    """One file that holds all rows as one JSON array, nulls kept. The objects are written in parallel; the parts are then
+    joined as streams of bytes, so neither a task nor the driver holds more than a buffer of them."""
+    spark, parts = rows.sparkSession, f"{path}.parts-{uuid.uuid4().hex}"
+    rows.select(F.concat(F.lit(","), F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).alias("value")).write.text(parts)
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    place = hadoop.fs.Path(path)
+    fs = place.getFileSystem(conf)
+    out = fs.create(place, False)
+    try:
+        out.write(ord("["))
+        first = True
+        for status in sorted(fs.globStatus(hadoop.fs.Path(f"{parts}/part-*")), key=lambda s: s.getPath().getName()):
+            if status.getLen():
+                into = fs.open(status.getPath())
+                into.skip(int(first))  # the comma before the first object
+                first = False
+                hadoop.io.IOUtils.copyBytes(into, out, conf, False)
+                into.close()
+        out.write(ord("]"))
+    finally:
+        out.close()
+        fs.delete(hadoop.fs.Path(parts), True)
+
+
 def write_parquet(rows: DataFrame, path: str) -> None:
     """Parquet, also of no rows."""
     rows.write.parquet(path, mode="errorifexists")

@@ -90,3 +90,58 @@ def test_every_category_is_versioned(spark, tmp_path):
     spark.createDataFrame(rows, "id long, category string, item_key string, canonical_value string, created_at timestamp_ntz").write.parquet(str(tmp_path / "knowledge_items.parquet"))
     got = {(r.category, r.canonical_value, r.effective_from, r.effective_to) for r in reference.type2_upsert(spark, str(tmp_path)).collect()}
     assert got == {("rank", "a", at(1), at(4)), ("rank", "c", at(4), None), ("organization", "b", at(2), None)}
+
+
+def test_an_event_far_away_does_not_unfold_every_year(spark, monkeypatch):
+    from noticeloom.operators import asof
+
+    made, keep = [], asof.Scratch.keep
+    monkeypatch.setattr(asof.Scratch, "keep", lambda self, df: made.append(keep(self, df)) or made[-1])
+    at = dt.datetime(2020, 1, 1)
+    items = spark.createDataFrame([(i, f"k{i}", "v", dt.date(2000, 1, 1), None, at) for i in range(20)], "id long, k string, v string, a date, b date, known timestamp_ntz")
+    events = spark.createDataFrame([(i, f"k{i}", dt.date(9999, 12, 31) if i == 3 else dt.date(2021, 5, 5), at) for i in range(20)], "e long, k string, day date, at timestamp_ntz")
+    got = asof.as_known(events, items, key=("k", "k"), event_date="day", event_known="at", item_id="id", item_value="v", valid=("a", "b"), item_known="known")
+    assert {(r.e, r.item_id) for r in got.collect()} == {(i, i) for i in range(20)}
+    assert made[0].count() == 20
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    from types import SimpleNamespace
+
+    from noticeloom.runtime import scratch_folder
+
+    session = lambda master, shared: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: shared), sparkContext=SimpleNamespace(master=master))
+    assert scratch_folder(session("spark://h:7077", "s3://x/y/")) == "s3://x/y"
+    for master in ("spark://h:7077", "local-cluster[3,2,3000]", "yarn"):
+        with pytest.raises(RuntimeError):
+            scratch_folder(session(master, None))
+
+
+def test_json_array_of_any_size(spark, tmp_path):
+    import json
+
+    from noticeloom.sinks import export
+
+    rows = spark.range(0, 1000, 1, 7).selectExpr("id", "if(id % 2 = 0, null, concat('\"', id)) as t")
+    export.write_json_array(rows, str(tmp_path / "a.json"))
+    back = json.loads((tmp_path / "a.json").read_text())
+    assert sorted((x["id"], x["t"]) for x in back if x["t"]) == [(i, f'"{i}') for i in range(1, 1000, 2)] and len(back) == 1000
+    export.write_json_array(rows.limit(0), str(tmp_path / "none.json"))
+    assert json.loads((tmp_path / "none.json").read_text()) == [] and len(list(tmp_path.glob("*.parts-*"))) == 0
+
+
+def test_content_hash_escapes_its_bars(spark):
+    from noticeloom.sinks import export
+
+    h = lambda *row: export.content_hash(spark.createDataFrame([row], "a string, b string")).first().content_hash
+    assert len({h("x|y", "z"), h("x", "y|z"), h("x\\", "y"), h("x\\|", "y"), h(None, "y"), h("\\N", "y")}) == 6
+
+
+def test_sequence_checksum_follows_the_order(spark):
+    import hashlib
+
+    from noticeloom.operators import features
+
+    df = spark.createDataFrame([(2, "b", "y"), (1, "a", None)], "n int, t string, u string")
+    got = features.sequence_checksum(df, [F.col("t"), F.col("u")], ["n"]).first()
+    assert (got.n, got.checksum) == (2, hashlib.sha256(b"a\0\0b\0y\0").hexdigest())
