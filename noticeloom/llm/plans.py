@@ -54,9 +54,11 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
-    """For each leaked item the number of documents that hold it and the largest share found."""
-    found = leaks.leaked(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
-    return found.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max("share").alias("share"))
+    """For each leaked item the number of documents that hold it in exact passages, of those that hold it as a whole but
+    edited beyond that, and the largest share found."""
+    found = leaks.matches(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    exact = F.col("share") >= leaks.SHARE
+    return found.groupBy("item_id").agg(F.count_if(exact).alias("n_documents"), F.count_if(~exact).alias("n_edited"), F.max("share").alias("share"))
 
 
 def p7_mixture(spark: SparkSession, folder: str) -> DataFrame:
