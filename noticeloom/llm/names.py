@@ -3,7 +3,8 @@
 Each spelling is read into forms: full forms, which are compared under the edit distance by the radius join of metric.py,
 and short forms, which an abbreviation asks for and every longer spelling offers. Readings undo what is not a matter of
 distance: order of parts, titles, old characters, numerals, abbreviated kinds of unit. Links between full forms make
-components; an abbreviation joins one only if no other component offers the same short form.
+components; an abbreviation joins one only if no other component offers the same short form. Kinds of unit and endings of
+nicknames are learned from the names themselves.
 """
 
 from __future__ import annotations
@@ -27,15 +28,18 @@ OLD = dict(zip("廣澤關學實惠峯嶋嶌冨國﨑嵜黑靑瀨眞鹽鐵龜櫻
 TITLES_AFTER = ("先生", "氏", "殿", "様")
 TITLES_LATIN = {"mr", "mrs", "ms", "miss", "dr", "prof", "sir"}
 NICK_AFTER = ("ちゃん", "くん", "やん", "ちん", "っち", "坊")
-NICK_LATIN = ("chin", "ppe", "kko", "tan")
+NICK_LATIN = ("chin", "ppe", "kko")
 # Numerals in words.
 NUMBER_WORDS = {w: str(i) for i, w in enumerate("first second third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth thirteenth fourteenth fifteenth sixteenth seventeenth eighteenth nineteenth twentieth".split(), 1)}
 _KANJI = {c: i for i, c in enumerate("〇一二三四五六七八九")}
 
-#: A kind of unit is known if at least this share of the numbered spellings ends in it.
-KIND_SHARE = 0.01
-#: Two forms that are both shorter than this are no slips of each other: nearly every short form is one away.
-SLIP_LENGTH = 5
+#: A kind of unit is a slip of another if that is so many times as frequent.
+KIND_SLIP = 3
+#: An ending of at most so many letters makes nicknames if, of the names that have it, this share and this number shorten
+#: another name of the family.
+NICK_LETTERS, NICK_SHARE, NICK_NAMES = 5, 0.5, 3
+#: Letters of a place's name that an abbreviation of it may have.
+PLACE_PREFIX = 64
 _LATIN = re.compile("[A-Za-z]")
 
 
@@ -45,7 +49,8 @@ class Reading:
 
     full: set[str] = field(default_factory=set)
     asks: set[str] = field(default_factory=set)
-    offers: set[str] = field(default_factory=set)
+    offers: dict[str, str] = field(default_factory=dict)  # short form: what it shortens
+    nicks: dict[str, str] = field(default_factory=dict)  # short forms that hold if the ending makes nicknames
 
 
 def plain(text: str) -> str:
@@ -57,10 +62,10 @@ def _bare(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
 
 
-def read_person(name: str, titles: frozenset[str] = frozenset()) -> Reading:
-    """Readings of a person's name. titles: words that may stand before a name, such as ranks."""
+def read_person(name: str, titles: tuple[str, ...] = ()) -> Reading:
+    """Readings of a person's name. titles: words that may stand before a name, such as ranks, longest first."""
     text, out = plain(name), Reading()
-    for title in sorted(titles, key=len, reverse=True):
+    for title in titles:
         if text.lower().startswith(title.lower() + " ") and len(text) > len(title) + 1:
             text = text[len(title) + 1 :]
     if _LATIN.search(text):
@@ -68,19 +73,19 @@ def read_person(name: str, titles: frozenset[str] = frozenset()) -> Reading:
         text = re.sub(r"\s*\([^)]{2,}\)$", "", text)
         tokens = [t for t in re.findall(r"[a-z'\-]+\.?|\([a-z]\)", text) if t.strip(".") not in TITLES_LATIN]
         tokens = [t.strip("()") + "." * t.startswith("(") for t in tokens]
-        whole = [t for t in tokens if not (t.endswith(".") or len(t) == 1 or len(t) <= 8 and t.endswith(NICK_LATIN))]
+        whole = [t for t in tokens if not (t.endswith(".") or len(t) == 1)]
         if len(tokens) == 2 and len(whole) == 1:
             short = next(t for t in tokens if t != whole[0])
-            short = next((short[: -len(e)] for e in NICK_LATIN if short.endswith(e) and len(short) > len(e)), short.strip("."))
-            out.asks.add(f"{whole[0]}|{short}")
+            out.asks.add(f"{whole[0]}|{short.strip('.')}")
         elif len(tokens) > 3 or not tokens:
-            out.full.add("".join(tokens) or text)
+            out.full |= {" ".join(tokens), " ".join(sorted(tokens))} if tokens else {text}
         else:
             tokens = [t.strip(".") for t in tokens]
             out.full |= {" ".join(p) for p in permutations(tokens)}
             if len(tokens) == 2:
                 for a, b in permutations(tokens):
-                    out.offers |= {f"{a}|{b[:k]}" for k in range(1, min(6, len(b)))}
+                    out.offers |= {f"{a}|{b[:k]}": b for k in range(1, len(b))}
+                    out.nicks |= {f"{a}|{b[:-k]}": b[-k:] for k in range(2, NICK_LETTERS + 1) if len(b) > k}
         return out
     initial = re.fullmatch(r"(\S{1,3})\s?(?:\((\S)\)|(\S)\.|\s(\S))", text) or re.fullmatch(r"(\S{1,3}) (\S)", text) or re.fullmatch(rf"(\S{{1,3}}) (\S)(?:{'|'.join(NICK_AFTER)})", text)
     if initial:
@@ -100,8 +105,10 @@ def read_person(name: str, titles: frozenset[str] = frozenset()) -> Reading:
         orders.add(parts[1] + parts[0])
     elif len(parts) == 3:
         orders.add(parts[2] + parts[0] + parts[1])
+    elif len(parts) > 3:
+        orders.add("".join(sorted(parts)))
     out.full |= orders
-    out.offers |= {f"{o[:k]}|{o[k]}" for o in orders for k in (1, 2, 3) if len(o) > k + 1}
+    out.offers |= {f"{o[:k]}|{o[k]}": o for o in orders for k in (1, 2, 3) if len(o) > k + 1}
     return out
 
 
@@ -139,7 +146,7 @@ def proper_kinds(counts: dict[str, int]) -> frozenset[str]:
 
     def worse(k: str, other: str) -> bool:
         shorter = len(k) < len(other) and k[0] == other[0] and k[-1] == other[-1] and _within(k, other)
-        return counts[other] >= 3 * counts[k] and one_slip(k, other) or counts[other] > counts[k] and shorter
+        return counts[other] >= KIND_SLIP * counts[k] and one_slip(k, other) or counts[other] > counts[k] and shorter
 
     return frozenset(k for k in counts if not any(worse(k, other) for other in counts if other != k))
 
@@ -180,7 +187,7 @@ def kind_of_latin(tokens: list[str], kinds: frozenset[str]) -> str | None:
 
 def _unit(place: str, number: str, kind: str) -> Reading:
     key = f"#{number}#{kind}"
-    return Reading({place + key}, {place + key}, {place[:k] + key for k in range(2, min(len(place), 17))})
+    return Reading({place + key}, {place + key}, {place[:k] + key: place for k in range(2, min(len(place), PLACE_PREFIX + 1))})
 
 
 def read_organisation(name: str, kinds: frozenset[str]) -> Reading:
@@ -278,11 +285,8 @@ def variants(names: DataFrame, titles: list[str] = (), scratch: Scratch | None =
             yield pd.DataFrame({"unit": [k for n in pdf.name if (k := numbered_kind(n))]}, dtype=object)
 
     units = rows.where("kind = 'organisation'").mapInPandas(learn, "unit string").groupBy("unit").count()
-    counted = scratch.keep(units.withColumn("latin", F.col("unit").rlike("[a-z]")))
-    total = counted.groupBy("latin").agg(F.sum("count").alias("all"))
-    frequent = counted.join(total, "latin").where(F.col("count") >= KIND_SHARE * F.col("all"))
-    known = proper_kinds({r.unit: r["count"] for r in frequent.toLocalIterator()})  # at most 2 / KIND_SHARE
-    before = frozenset(titles)
+    known = proper_kinds({r.unit: r["count"] for r in _not_slips(scratch.keep(units), scratch).toLocalIterator()})  # a vocabulary
+    before = tuple(sorted(titles, key=len, reverse=True))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -290,35 +294,33 @@ def variants(names: DataFrame, titles: list[str] = (), scratch: Scratch | None =
             for kind, name in zip(pdf.kind, pdf.name):
                 r = read_person(name, before) if kind == "person" else read_organisation(name, known)
                 lead = min(r.full, default=None)  # one order of the parts looks for others, which are there in all orders
-                out += [(kind, name, sort, kind[0] + form, form == lead) for sort, forms in (("full", r.full), ("ask", r.asks), ("offer", r.offers - r.asks)) for form in sorted(forms)]
-            yield pd.DataFrame(out, columns=["kind", "name", "sort", "form", "lead"])
+                out += [(kind, name, sort, kind[0] + form, form == lead, None) for sort, forms in (("full", r.full), ("ask", r.asks)) for form in sorted(forms)]
+                out += [(kind, name, "offer", kind[0] + form, False, whole) for form, whole in r.offers.items() if form not in r.asks]
+                out += [(kind, name, "nick", kind[0] + form, False, ending) for form, ending in r.nicks.items()]
+            yield pd.DataFrame(out, columns=["kind", "name", "sort", "form", "lead", "ending"])
 
-    forms = scratch.keep(rows.mapInPandas(read, "kind string, name string, sort string, form string, lead boolean"))
+    forms = scratch.keep(rows.repartition("name").mapInPandas(read, "kind string, name string, sort string, form string, lead boolean, ending string"))
     full = scratch.keep(forms.where("sort = 'full'").select("form", "name", "kind", "lead").distinct())
-    different = full.groupBy(F.col("form").alias("s")).agg(F.max("lead").alias("visits"))
-    near = metric.radius_join(different, 1, scratch=scratch).select("a", "b")
-    letters = different.withColumn("bag", F.array_join(F.array_sort(F.split("s", "")), ""))
-    swapped = letters.alias("p").join(letters.alias("q"), F.col("p.bag") == F.col("q.bag")).where("p.s < q.s").select(F.col("p.s").alias("a"), F.col("q.s").alias("b")).where(F.levenshtein("a", "b", 2) == 2)
-
-    def sure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf[[x[0] == y[0] and max(len(x), len(y)) > SLIP_LENGTH and one_slip(x, y) and (x[0] == "p" or same_unit(x[1:], y[1:], known)) for x, y in zip(pdf.a, pdf.b)]]
-
-    close = scratch.keep(near.unionByName(swapped).distinct().mapInPandas(sure, "a string, b string"))
+    nicked = scratch.keep(_nicknames(forms.where("sort = 'nick'"), forms.where("sort = 'offer'")))
+    different = full.groupBy("form").agg(F.max("lead").alias("visits"))
+    nicknames = full.join(nicked.select("kind", "name").distinct(), ["kind", "name"], "left_semi").select("form").distinct()
+    close = scratch.keep(_slips(different, nicknames, known, scratch))
     # a form stands for all spellings that have it: forms are linked to each other and spellings to their forms
     tie = full.select(F.concat(F.lit("f"), "form").alias("a"), F.concat(F.lit("n"), "kind", F.lit(":"), "name").alias("b"))
     links = close.select(F.concat(F.lit("f"), "a").alias("a"), F.concat(F.lit("f"), "b").alias("b")).unionByName(tie)
     whole = components(links, scratch)
     by_name = full.select("kind", "name").distinct().withColumn("node", F.concat(F.lit("n"), "kind", F.lit(":"), "name")).join(whole, "node").select("kind", "name", "label")
     by_name = scratch.keep(by_name)
-    short = forms.where("sort <> 'full'").select("kind", "name", "sort", "form").distinct()
-    offers = short.where("sort = 'offer'").join(by_name, ["kind", "name"]).groupBy("form").agg(F.min("label").alias("label"), F.max("label").alias("last")).where("label = last").select("form", "label")
-    asks = short.where("sort = 'ask'")
+    # a nickname is no name to shorten
+    offering = forms.where("sort = 'offer'").select("kind", "name", "form").distinct().join(nicked.select("kind", "name").distinct(), ["kind", "name"], "left_anti").join(by_name, ["kind", "name"])
+    offers = offering.groupBy("form").agg(F.min("label").alias("label"), F.max("label").alias("last")).where("label = last").select("form", "label")
+    asks = forms.where("sort = 'ask'").select("kind", "name", "form").unionByName(nicked).distinct()
     placed = asks.join(offers, "form").groupBy("kind", "name").agg(F.min("label").alias("label"), F.max("label").alias("last")).where("label = last").select("kind", "name", "label")
-    # a unit may have a full form of its own and ask as well: then its whole component moves
+    # a unit or a nickname may have a full form of its own and ask as well: then its whole component moves
     moved = placed.join(by_name.withColumnRenamed("label", "own"), ["kind", "name"], "left")
     alone = asks.join(by_name.select("kind", "name"), ["kind", "name"], "left_anti").join(placed.select("kind", "name"), ["kind", "name"], "left_anti").select("kind", "name", F.concat(F.lit("s"), "form").alias("label"))
-    steps = scratch.keep(moved.where("own is not null and own <> label").select(F.col("own").alias("a"), F.col("label").alias("b")).distinct())
+    alike = nicked.join(placed.select("kind", "name"), ["kind", "name"], "left_anti").join(by_name, ["kind", "name"]).select(F.col("label").alias("a"), F.concat(F.lit("s"), "form").alias("b"))
+    steps = scratch.keep(moved.where("own is not null and own <> label").select(F.col("own").alias("a"), F.col("label").alias("b")).unionByName(alike).distinct())
     merged = components(steps, scratch)
     entity = by_name.unionByName(moved.where("own is null").select("kind", "name", "label")).unionByName(alone)
     entity = entity.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("kind", "name", F.coalesce("to", "label").alias("label"))
@@ -327,6 +329,77 @@ def variants(names: DataFrame, titles: list[str] = (), scratch: Scratch | None =
     return entity.join(group, ["kind", "label"]).select("kind", "name", "entity")
 
 
+def _swapped(words: DataFrame) -> DataFrame:
+    """a, b: different words of the column s with the same letters, one swap of neighbours or the like apart."""
+    letters = words.select("s", F.array_join(F.array_sort(F.split("s", "")), "").alias("bag"))
+    both = letters.alias("p").join(letters.alias("q"), F.col("p.bag") == F.col("q.bag")).where("p.s < q.s")
+    return both.select(F.col("p.s").alias("a"), F.col("q.s").alias("b")).where(F.levenshtein("a", "b", 2) == 2)
+
+
+def _not_slips(units: DataFrame, scratch: Scratch) -> DataFrame:
+    """unit, count of the kinds that are not one slip away from one KIND_SLIP times as frequent."""
+    words = units.select(F.col("unit").alias("s"))
+    near = metric.radius_join(words, 1, scratch=scratch).select("a", "b").unionByName(_swapped(words))
+    pairs = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counted = lambda c: units.select(F.col("unit").alias(c), F.col("count").alias(f"n_{c}"))
+    slips = pairs.join(counted("a"), "a").join(counted("b"), "b").where(F.col("n_b") >= KIND_SLIP * F.col("n_a")).select(F.col("a").alias("unit")).distinct()
+    return units.join(slips, "unit", "left_anti")
+
+
+def _slips(different: DataFrame, nicknames: DataFrame, known: frozenset[str], scratch: Scratch) -> DataFrame:
+    """a, b: full forms that are one slip apart and have a letter in common. Units are compared with units of the same number
+    only.
+
+    Two forms that are both shortened are no slips of each other, since what tells them apart may be what is missing: a form
+    is shortened if it is a nickname, the beginning of one two letters longer, or one letter short of another.
+    """
+    parts = F.split(F.substring("form", 2, 1 << 30), "#")
+    numbered = F.col("form").startswith("o") & (F.size(parts) == 3)
+    block = F.when(numbered, F.concat(F.lit("o#"), parts[1])).otherwise(F.concat(F.substring("form", 1, 1), F.size(parts).cast("string")))
+    placed = different.select(block.alias("block"), F.when(numbered, F.concat(parts[0], F.lit("#"), parts[2])).otherwise(F.array_join(parts, "#")).alias("s"), "visits")
+
+    def form(c: str):
+        x = F.split(c, "#")
+        return F.when(F.col("block").startswith("o#"), F.concat(F.lit("o"), x[0], F.lit("#"), F.substring("block", 3, 1 << 30), F.lit("#"), x[1])).otherwise(F.concat(F.substring("block", 1, 1), c))
+
+    joined = metric.radius_join(placed, 1, scratch=scratch)
+    near = scratch.keep(joined.select(form("a").alias("a"), form("b").alias("b")).unionByName(_swapped(different.select(F.col("form").alias("s")))).distinct())
+
+    def sure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[[x[0] == y[0] and min(len(x), len(y)) > 2 - (len(x) != len(y)) and one_slip(x, y) and (x[0] == "p" or same_unit(x[1:], y[1:], known)) for x, y in zip(pdf.a, pdf.b)]]
+
+    close = scratch.keep(near.mapInPandas(sure, "a string, b string"))
+    uneven = close.where("length(a) <> length(b) and a like 'p%'")
+    lacking = uneven.select(F.when(F.length("a") < F.length("b"), F.col("a")).otherwise(F.col("b")).alias("form")).distinct()
+    people = different.where("form like 'p%' and length(form) > 4").select(F.explode(F.transform(F.sequence(F.lit(3), F.length("form") - 2), lambda k: F.substring(F.col("form"), 1, k))).alias("form")).distinct()
+    asked = close.where("a like 'p%'").select(F.explode(F.array("a", "b")).alias("form")).distinct()
+    begun = asked.join(people.unionByName(nicknames).distinct(), "form", "left_semi").withColumn("begun", F.lit(True))
+    short = asked.join(begun, "form", "left").join(lacking.withColumn("lacks", F.lit(True)), "form", "left").select("form", F.coalesce("begun", F.lit(False)).alias("begun"), F.coalesce("lacks", F.lit(False)).alias("lacks")).where("begun or lacks")
+    side = lambda c: short.select(F.col("form").alias(c), F.col("begun").alias(f"begun_{c}"), F.lit(True).alias(f"short_{c}"))
+    flagged = close.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    shorter_begun = F.when(F.length("a") < F.length("b"), F.col("begun_a")).when(F.length("a") > F.length("b"), F.col("begun_b")).otherwise(True)
+    return flagged.where(~F.coalesce(F.col("short_a") & F.col("short_b") & shorter_begun, F.lit(False))).select("a", "b")
+
+
+def _nicknames(nicks: DataFrame, offers: DataFrame) -> DataFrame:
+    """kind, name, form of the names whose ending makes nicknames: a known one, or one that in most names that have it stands
+    in the place of the rest of another name of the same family."""
+    token = F.concat(F.split("form", r"\|")[1], "ending")
+    own = nicks.select("kind", "name", "form", "ending", token.alias("token"))
+    by_form = offers.select("form", F.col("ending").alias("token")).groupBy("form").agg(F.min("token").alias("first"), F.max("token").alias("last"))
+    answered = F.coalesce((F.levenshtein("first", "token") > 2) | (F.levenshtein("last", "token") > 2), F.lit(False))  # no slip of it
+    told = own.join(by_form, "form", "left").groupBy("ending").agg(F.count("*").alias("n"), F.count_if(answered).alias("hits"))
+    learned = proper_endings({r.ending: r.n for r in told.where((F.col("hits") >= NICK_NAMES) & (F.col("hits") >= NICK_SHARE * F.col("n"))).toLocalIterator()})
+    return own.where(F.col("ending").isin(*NICK_LATIN, *learned)).select("kind", "name", "form").distinct()
+
+
+def proper_endings(counts: dict[str, int]) -> list[str]:
+    """Of endings that contain each other the one that most names with the shorter one have; none longer than that."""
+    most = lambda e: [f for f in counts if f[1:] == e and counts[f] >= 0.8 * counts[e]]
+    return sorted(e for e in counts if not most(e) and (e[1:] not in counts or counts[e] >= 0.8 * counts[e[1:]]) and len(e) < NICK_LETTERS)
+
+
 def pairs(grouped: DataFrame) -> DataFrame:
     """kind, name_a, name_b: every two spellings of one entity, name_a < name_b. Groups are the spellings of one entity."""
     a = grouped.select("kind", "entity", F.col("name").alias("name_a"))

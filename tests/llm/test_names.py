@@ -93,3 +93,53 @@ def test_odd_input(spark):
     got = names.variants(df).collect()
     assert {r.name for r in got} == {long, long + "い"}
     assert names.variants(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rows, radius", [(30, 1), (400, 1), (30, 2)])
+def test_cells_lose_no_pair_and_replicate_little(spark, monkeypatch, rows, radius):
+    monkeypatch.setattr(metric, "PAIR_ROWS", 12)
+    r = random.Random(rows)
+    words = {"".join(r.choice("abcdefgh漢字仮名") for _ in range(r.choice([2, 4, 5, 5, 7]))) for _ in range(500)}
+    for w in list(words):
+        i = r.randrange(len(w))
+        words |= {w[:i] + r.choice("abz") + w[i + 1 :], w[:i] + w[i + 1 :], w[:i] + w[i : i + 2][::-1] + w[i + 2 :]}
+    words = sorted(w for w in words if w)
+    df = spark.createDataFrame([("x" if len(w) % 2 else "y", w) for w in words] + [("y", w) for w in words[:200]], "block string, s string")
+    got = [(x.block, x.a, x.b) for x in metric.radius_join(df, radius, sample=300, rows=rows).collect()]
+    blocks = {"x": [w for w in words if len(w) % 2], "y": sorted({w for w in words if not len(w) % 2} | set(words[:200]))}
+    assert sorted(got) == sorted((k, a, b) for k, ws in blocks.items() for a in ws for b in ws if a < b and distance(a, b) <= radius)
+
+
+def test_one_crowded_cell_without_a_division(spark):
+    words = [a + b for a in "abcdefghijklmno" for b in "abcdefghijklmno"]
+    got = metric.radius_join(spark.createDataFrame([(w,) for w in words], "s string"), 1, sample=50, rows=20).collect()
+    assert len(got) == sum(distance(a, b) == 1 for a in words for b in words if a < b) == len({(x.a, x.b) for x in got})
+
+
+def groups(spark, rows, **options):
+    got = {}
+    for r in names.variants(spark.createDataFrame(rows, "kind string, name string"), **options).collect():
+        got.setdefault(r.entity, set()).add(r.name)
+    return {frozenset(g) for g in got.values()}
+
+
+def test_short_names_have_slips_too(spark):
+    people = ["山田太郎", "山田大郎", "沢村一", "沢村二", "沢村一二三", "沢村二四五", "李四", "李五"]
+    assert groups(spark, [("person", n) for n in people]) == {frozenset(x) for x in (("山田太郎", "山田大郎"), ("李四", "李五"))}
+
+
+def test_rare_kinds_are_kinds(spark):
+    units = [f"青空海第{n}整備大隊" for n in range(1, 120)] + ["赤土原第3監査班", "赤土原第3監理班", "赤土原第4監査班", "赤土原第4監理班"]
+    assert groups(spark, [("organisation", n) for n in units]) == set()
+
+
+def test_names_of_four_parts_and_names_that_end_like_nicknames(spark):
+    people = ["Ana Maria Lopez Vidal", "Lopez Vidal Ana Maria", "Vidal, Ana Maria Lopes", "Tristan Lee", "Tristam Lee", "Trisha Lee", "甲 乙 丙 丁", "丁 甲 乙 丙"]
+    want = {frozenset(x) for x in (people[:3], people[3:5], people[6:])}
+    assert groups(spark, [("person", n) for n in people]) == want
+
+
+def test_endings_of_nicknames_are_learned(spark):
+    given = ["Morivan", "Tesserin", "Bakelot", "Dunfarl", "Hexamon", "Ogrindel"]
+    people = [f"Kelda {g}" for g in given] + [f"Kelda {g[:4]}zun" for g in given[:5]] + ["Vastel Orin"]
+    assert groups(spark, [("person", n) for n in people]) == {frozenset((f"Kelda {g}", f"Kelda {g[:4]}zun")) for g in given[:5]}
