@@ -1,17 +1,17 @@
 """Visually identical text with different characters.
 
-Characters that stand in for others come in two sorts. Some are stand-ins wherever they occur: other widths, split
-marks, invisible characters, unusual blanks, compatibility ideographs and radicals. They are folded by table. Others are
-ordinary signs in their own script, such as a Cyrillic o or a katakana ni, and only the word tells. For those the
-vocabulary of the corpus is gathered, a canonical spelling is chosen for each look, the canonical spellings become
-tries, and every doubtful word runs through them with a weighted automaton for which look-alikes and ignorables are
-free. Words that no canonical spelling accepts are normalised by table from the scripts around each sign.
+The vocabulary of the corpus is gathered as it is written. Of the spellings that look alike, the most frequent one whose
+own signs agree is canonical; canonical spellings become tries, and every doubtful word runs through them with a weighted
+automaton. Other widths, split marks, invisible signs and look-alikes of other scripts are free, a digit for a letter
+costs half, anything else more than the budget. Words that no canonical spelling accepts are normalised by table: stand-ins
+that are certain wherever they occur, such as other widths and split marks, and look-alikes by the scripts around them.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,19 +19,66 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Scratch, apart, broadcast_if_small
+from ..runtime import BROADCAST_BYTES, Scratch, apart, estimated_bytes
 
 # Pairs of signs that look the same, other script first.
 LATIN = dict(zip("аеорсухіјѕһԁԛԝкАВЕКМНОРСТХУЅІЈΑΒΕΖΗΙΚΜΝΟΡΤΥΧονα", "aeopcyxijshdqwkABEKMHOPCTXYSIJABEZHIKMNOPTYXova"))
 KANA = dict(zip("カエロハニタトーチオヌヘ", "力工口八二夕卜一千才又へ"))
 DASHES = dict.fromkeys("‐‑−", "-")
-#: A word written wholly in another script gives way to a look-alike only if that is so many times as frequent.
+#: Digits and the letters that look nearly like them.
+NEAR = {"0": "Oo", "1": "lIi"}
+#: What a near look-alike and what any other edit costs, and what a word may cost altogether.
+NEAR_COST, OTHER_COST, BUDGET = 0.5, 2.0, 1.0
+#: A word written wholly in another script, or with a digit in it, gives way to a look-alike only if that is so many times as frequent.
 WHOLE_WORD = 20
 #: Words and canonical spellings held by one task.
 BUCKET_WORDS = 40_000
 
 _BACK = {v: k for k, v in KANA.items()}
-_LOOK = {**LATIN, **KANA}
+
+
+class Signs:
+    """Which signs look the same. `latin`: signs of other scripts and the Latin letters they look like."""
+
+    def __init__(self, more: dict[str, str] | None = None) -> None:
+        self.latin = {**(more or {}), **LATIN}
+        self.look = {**self.latin, **KANA}
+        self.same: dict[str, str] = {}
+        for c, v in self.look.items():
+            self.same[v] = self.same.get(v, "") + c
+        doubtful = {*self.look, *self.look.values()} - set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+        self.doubt = re.compile("[" + re.escape("".join(sorted(doubtful))) + r"]|(?<=[A-Za-z])[01](?=[A-Za-z])")
+
+    def shown(self, word: str) -> str:
+        """What `word` looks like; equal for words that differ by look-alikes only."""
+        return "".join(self.look.get(c, c) for c in word)
+
+    def roughly(self, word: str) -> str:
+        """As shown(), with near look-alikes taken as one."""
+        return "".join(_ROUGH.get(c, c) for c in self.shown(word))
+
+
+_ROUGH = {c: digit for digit, letters in NEAR.items() for c in letters}
+
+
+def public_signs(spark) -> Signs:
+    """The signs above and, of all letters of other scripts, those that the public table of confusable characters shows as
+    one Latin letter. The table comes with the Unicode library of the session; without it the signs above stand alone."""
+    try:
+        checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+        letters = [c for c in map(chr, range(0x370, 0x2C00)) if unicodedata.category(c) in ("Ll", "Lu", "Lo", "Lt") and not unicodedata.name(c, "").startswith("LATIN") and not unicodedata.decomposition(c)]
+        plain = [c for c in map(chr, range(0x41, 0x7B)) if c.isalpha()]
+        shapes = checker.getSkeleton(0, "\n".join([*plain, *letters])).split("\n")
+    except TypeError:  # what is not there is a package, which cannot be called
+        return Signs()
+    by_shape: dict[str, str] = {}
+    for c, shape in zip(plain, shapes):
+        by_shape.setdefault((shape, c.isupper()) if len(shape) == 1 else (shape, None), c)
+    more = {c: by_shape[shape, c.isupper()] for c, shape in zip(letters, shapes[len(plain) :]) if (shape, c.isupper()) in by_shape}
+    return Signs(more)
+
+
+_SIGNS = Signs()
 
 
 def _invisible(c: str) -> bool:
@@ -70,22 +117,19 @@ def fold(text: str) -> str:
     return unicodedata.normalize("NFC", text)
 
 
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-_DOUBT = re.compile("[" + "".join({*_LOOK, *_LOOK.values()} - set("aeopcyxijshdqwkABEKMHOPCTXYSIJZNvu")) + "]")
-
-
-def doubtful(folded: str) -> list[str]:
-    """The different words of a folded text that hold a sign of the second sort."""
-    return [w for w in dict.fromkeys(_WORD.findall(folded)) if _DOUBT.search(w)] if not folded.isascii() else []
-
-
-_PLAIN = re.compile(rf"(?<![^\W_])[{''.join(sorted(set(LATIN.values())))}]+(?![^\W_])")
+@lru_cache(1)
+def _word() -> tuple[re.Pattern, re.Pattern]:
+    """Words as they are written, with split marks and invisible signs, and the units of a word: a sign and its marks."""
+    apart = re.escape("".join(sorted({*map(chr, (*range(0x300, 0x370), *range(0x3099, 0x309D), 0xFF9E, 0xFF9F))} | {c for c in map(chr, _folds()[0]) if _invisible(c)})))
+    latin = "A-Za-zＡ-Ｚａ-ｚ"
+    letter, inner = rf"(?![{apart}])[^\W\d_]", rf"(?<=[{latin}{apart}])[01](?=[{apart}]*[{latin}])"
+    more = rf"(?:[^\W\d_]|[{apart}]|{inner})*"
+    return re.compile(rf"(?:{letter}|{inner}){more}(?:['’]{letter}{more})*"), re.compile(rf"[{apart}]*(?:(?![{apart}]).)[{apart}]*", re.DOTALL)
 
 
-@lru_cache(1 << 16)
-def look(word: str) -> str:
-    """What `word` looks like; equal for words that differ by look-alikes only."""
-    return "".join(_LOOK.get(c, c) for c in word)
+def words_of(text: str) -> list[str]:
+    """The words of a text as they are written, repeated ones as often as they occur."""
+    return _word()[0].findall(text)
 
 
 def _script(c: str) -> str:
@@ -94,12 +138,11 @@ def _script(c: str) -> str:
     return "kanji" if "㐀" <= c <= "鿿" or c in "々〆" else "other"
 
 
-@lru_cache(1 << 16)
-def by_table(word: str) -> str:
+def by_table(word: str, signs: Signs = _SIGNS) -> str:
     """The spelling of a word judged by its own signs: letters from elsewhere within a Latin word, katakana among
     ideographs, ideographs inside katakana. A word wholly in one script stays as it is."""
-    if any(c in LATIN for c in word) and any("a" <= c.lower() <= "z" for c in word):
-        word = "".join(LATIN.get(c, c) for c in word)
+    if not word.isascii() and any("a" <= c.lower() <= "z" for c in word):
+        word = "".join(signs.latin.get(c, c) for c in word)
     out, i = list(word), 0
     while i < len(word):
         j = i
@@ -129,9 +172,10 @@ class Trie:
             node = node.setdefault(c, {})
         node[""] = (count, word)
 
-    def search(self, word: str, budget: float = 0.0, other: float = 1.0) -> tuple[float, int, str] | None:
-        """(cost, -count, spelling) of the cheapest, then most frequent spelling within `budget`: equal signs,
-        look-alikes and ignorables cost nothing, other substitutions, insertions and deletions `other` each."""
+    def search(self, word: str, budget: float = 0.0, other: float = 1.0, signs: Signs = _SIGNS) -> tuple[float, int, str] | None:
+        """(cost, -count, spelling) of the cheapest, then most frequent spelling within `budget`: equal signs, other widths,
+        split marks, look-alikes and ignorables cost nothing, a digit for a letter like it NEAR_COST, other substitutions,
+        insertions and deletions `other` each."""
         states = {id(self.root): (0.0, self.root)}
 
         def reach(states: dict, node: dict, cost: float) -> bool:
@@ -149,16 +193,19 @@ class Trie:
             return states
 
         states = skipped(states)
-        for c in word:
-            if _invisible(c):
-                continue
+        for c in (x for unit in _word()[1].findall(word) for x in fold(unit)):
             after: dict = {}
-            shown = _LOOK.get(c, c)
-            alike = {c, shown, *_SAME.get(shown, "")}
+            shown = signs.look.get(c, c)
+            alike = {c, shown, *signs.same.get(shown, "")}
+            nearly = {*NEAR.get(shown, ""), _ROUGH.get(shown, shown)} - alike
             for cost, node in states.values():
                 for x in alike:
                     if x in node:
                         reach(after, node[x], cost)
+                if cost + NEAR_COST <= budget:
+                    for x in nearly:
+                        if x in node:
+                            reach(after, node[x], cost + NEAR_COST)
                 if cost + other <= budget:
                     reach(after, node, cost + other)
                     for x, child in node.items():
@@ -171,80 +218,108 @@ class Trie:
         return min(ends, default=None)
 
 
-_SAME: dict[str, str] = {}
-for _c, _v in _LOOK.items():
-    _SAME[_v] = _SAME.get(_v, "") + _c
-
-
-def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        folded = [fold(t) for t in pdf.text if t]
-        found = [(w, look(w), by_table(w) == w) for t in folded for w in doubtful(t)]
-        found += [(w, w, True) for t in folded for w in set(_PLAIN.findall(t))]  # Latin words that another script can show
-        yield pd.DataFrame(found, columns=["word", "look", "sound"])
-
-
-def _match(words: pd.DataFrame, vocabulary: pd.DataFrame) -> pd.DataFrame:
-    trie = Trie()
-    for w, n in zip(vocabulary.canonical, vocabulary.canonical_n):
-        trie.add(w, int(n))
-    out = []
-    for w, n in zip(words.word, words.n):
-        hit = trie.search(w)
-        best, count = (hit[2], -hit[1]) if hit else (w, 0)
-        if best != w and all(c in LATIN or ord(c) > 0x370 for c in w) and any(c in LATIN for c in w):
-            if count < WHOLE_WORD * n:  # a word of its own script
-                best = w
-        if best == w:
-            best = by_table(w)
-        if best != w:
-            out.append((w, best))
-    return pd.DataFrame(out, columns=["word", "canonical"])
-
-
-def replacements(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """word, canonical for the doubtful words of the column `text` that are written with look-alikes, by the whole
-    vocabulary. A canonical spelling is one whose own signs agree, of these the most frequent, then the smallest."""
-    vocabulary = texts.select("text").mapInPandas(_words, "word string, look string, sound boolean")
-    counted = scratch.keep(vocabulary.groupBy("word", "look", "sound").agg(F.count("*").alias("n")))
-    best = counted.groupBy("look").agg(F.max(F.struct("sound", "n")).alias("top"), F.sum("n").alias("all"))
-    chosen = counted.join(best, "look").where(F.struct("sound", "n") == F.col("top")).groupBy("look").agg(F.min("word").alias("canonical"), F.max("n").alias("canonical_n"), F.max("top.sound").alias("sound"))
-    buckets = max(1, -(-counted.count() // BUCKET_WORDS))
-    bucket = F.pmod(F.xxhash64("look"), F.lit(buckets)).cast("int").alias("bucket")
-    left = counted.select("word", "n", bucket).groupBy("bucket")
-    right = chosen.where("sound").select("canonical", "canonical_n", bucket).groupBy("bucket")
-    return scratch.keep(left.cogroup(right).applyInPandas(_match, "word string, canonical string"))
+def _sound(word: str, signs: Signs) -> bool:
+    """Whether a word's own signs agree."""
+    return fold(word) == word and by_table(word, signs) == word and not re.search("[A-Za-z][01]", word)
+
+
+def _matcher(signs: Signs):
+    def match(words: pd.DataFrame, vocabulary: pd.DataFrame) -> pd.DataFrame:
+        trie, out = Trie(), []
+        for w, n in zip(vocabulary.canonical, vocabulary.canonical_n):
+            trie.add(w, int(n))
+        for w, n in zip(words.word, words.n):
+            hit, folded = trie.search(w, BUDGET, OTHER_COST, signs), fold(w)
+            best = hit[2] if hit else folded
+            own = all(c in signs.latin or ord(c) > 0x370 for c in folded) and any(c in signs.latin for c in folded)  # a word of its own script
+            if hit and best != folded and (own or hit[0]) and -hit[1] < WHOLE_WORD * n:
+                best = folded
+            if best == folded:
+                best = by_table(folded, signs)
+            if best != folded:
+                out.append((w, best))
+        return pd.DataFrame(out, columns=["word", "canonical"])
+
+    return match
+
+
+def replacements(texts: DataFrame, scratch: Scratch, signs: Signs = _SIGNS) -> DataFrame:
+    """word, canonical for the doubtful words of the column `text`, as they are written, whose canonical spelling the table
+    of certain stand-ins does not give by itself. A canonical spelling is one whose own signs agree, of these the most
+    frequent, then the smallest."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found: Counter = Counter()
+            for text in pdf.text:
+                if text:
+                    found.update(set(words_of(text)))
+            rows = [(w, n, signs.shown(f), signs.roughly(f), _sound(w, signs), f != w or bool(signs.doubt.search(f))) for w, n in found.items() for f in (fold(w),)]
+            yield pd.DataFrame(rows, columns=["word", "n", "look", "rough", "sound", "doubt"])
+
+    counted = texts.select("text").mapInPandas(count, "word string, n long, look string, rough string, sound boolean, doubt boolean")
+    counted = scratch.keep(counted.groupBy("word", "look", "rough", "sound", "doubt").agg(F.sum("n").alias("n")))
+    doubtful = counted.where("doubt")
+    alike = counted.where("sound").join(doubtful.select("rough").distinct(), "rough", "left_semi")
+    chosen = alike.groupBy("rough", "look").agg(F.min(F.struct(-F.col("n"), "word")).alias("best")).select("rough", F.col("best.word").alias("canonical"), (-F.col("best.col1")).alias("canonical_n"))
+    buckets = max(1, -(-doubtful.count() // BUCKET_WORDS))
+    bucket = F.pmod(F.xxhash64("rough"), F.lit(buckets)).cast("int").alias("bucket")
+    left = doubtful.select("word", "n", bucket).groupBy("bucket")
+    right = chosen.select("canonical", "canonical_n", bucket).groupBy("bucket")
+    return scratch.keep(left.cogroup(right).applyInPandas(_matcher(signs), "word string, canonical string"))
+
+
+def rewritten(text: str, by: dict[str, str]) -> str:
+    """`text` with its words replaced and every certain stand-in folded."""
+    return fold(_word()[0].sub(lambda m: by.get(m[0], m[0]), text) if by and not text.isascii() or _NUMBERED.search(text) else text)
+
+
+_NUMBERED = re.compile("[A-Za-z][01]+[A-Za-z]")
 
 
 def unified(texts: DataFrame, text: str = "text") -> DataFrame:
     """All rows of `texts` with `canonical`, the text in its one form, and `stand_in`, whether it held a stand-in.
 
     Null stays null and holds none; other columns are kept, ones named canonical or stand_in with _in. Repeated rows each
-    come out. Whole texts are used, and the vocabulary is that of all rows.
+    come out. Whole texts are used, and the vocabulary is that of all rows. Where all replaced words are within the size for
+    broadcasts, each text is read once more and nothing is shuffled; otherwise texts meet their words by a digest.
     """
-    scratch = Scratch(texts.sparkSession)
+    spark, scratch = texts.sparkSession, Scratch(texts.sparkSession)
+    signs = public_signs(spark)
     names = dict(zip(texts.columns, apart(texts, ["canonical", "stand_in"]).columns))
     texts, text = texts.toDF(*names.values()), names[text]
-    plain = texts.select(F.col(text).alias("text"))
-    words = replacements(plain, scratch)
+    words = replacements(texts.select(F.col(text).alias("text")), scratch, signs)
+    rows = texts.select(F.struct("*").alias("row"), F.col(text).alias("__text"))
+    if estimated_bytes(words) <= BROADCAST_BYTES:
+        sent = spark.sparkContext.broadcast({r.word: r.canonical for r in words.toLocalIterator()})
+
+        @F.pandas_udf("string")
+        def one_form(values: pd.Series) -> pd.Series:
+            return values.map(lambda t: None if t is None else rewritten(t, sent.value))
+
+        out, canonical = rows.withColumn("__c", one_form("__text")), F.col("__c")
+    else:
+        out = _met(rows.withColumn("__digest", F.md5("__text")).withColumn("__folded", _fold_udf()("__text")), words, scratch, signs)
+        canonical = F.coalesce("__c", "__folded")
+    return out.select("row.*", canonical.alias("canonical"), (F.col("__text").isNotNull() & (canonical != F.col("__text"))).alias("stand_in"))
+
+
+def _met(rows: DataFrame, words: DataFrame, scratch: Scratch, signs: Signs) -> DataFrame:
+    """`rows` with __c, the rewritten text of those that hold a replaced word; few do, and only they meet their words."""
 
     def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame([(t, w) for t in pdf.text if t for w in doubtful(fold(t))], columns=["text", "word"])
+            yield pd.DataFrame([(d, w) for d, t in zip(pdf.digest, pdf.text) if t for w in set(words_of(t)) if fold(w) != w or signs.doubt.search(w)], columns=["digest", "word"])
 
-    def rewritten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def replaced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            done = [_WORD.sub(lambda m, by=dict(p): by.get(m[0], m[0]), fold(t)) for t, p in zip(pdf.text, pdf.pairs)]
-            yield pd.DataFrame({"text": pdf.text, "canonical": done})
+            yield pd.DataFrame({"digest": pdf.digest, "canonical": [rewritten(t, dict(p)) for t, p in zip(pdf.text, pdf.pairs)]})
 
-    # few words are replaced, so that only the texts that hold one meet their replacements
-    pairs = plain.mapInPandas(needed, "text string, word string").join(broadcast_if_small(words), "word").groupBy("text").agg(F.collect_set(F.struct("word", "canonical")).alias("pairs"))
-    changed = scratch.keep(pairs.select("text", F.transform("pairs", lambda p: F.array(p["word"], p["canonical"])).alias("pairs")).mapInPandas(rewritten, "text string, canonical string"))
-    rows = texts.select(F.struct("*").alias("row"), F.col(text).alias("__text"))
-    rows = rows.withColumn("__folded", _fold_udf()("__text"))
-    out = rows.join(broadcast_if_small(changed.select(F.col("text").alias("__text"), F.col("canonical").alias("__c"))), "__text", "left")
-    canonical = F.coalesce("__c", "__folded")
-    return out.select("row.*", canonical.alias("canonical"), (F.col("__text").isNotNull() & (canonical != F.col("__text"))).alias("stand_in"))
+    different = rows.where("__text is not null").groupBy(F.col("__digest").alias("digest")).agg(F.first("__text").alias("text"))
+    different = scratch.keep(different)
+    pairs = different.mapInPandas(needed, "digest string, word string").join(words, "word").groupBy("digest").agg(F.collect_set(F.array("word", "canonical")).alias("pairs"))
+    changed = scratch.keep(different.join(pairs, "digest").mapInPandas(replaced, "digest string, canonical string"))
+    return rows.join(changed.select(F.col("digest").alias("__digest"), F.col("canonical").alias("__c")), "__digest", "left")
 
 
 def _fold_udf():

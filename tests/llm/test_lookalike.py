@@ -50,3 +50,32 @@ def test_the_cheapest_then_most_frequent_spelling_wins():
     for w, n in (("абв", 1), ("abc", 5), ("abd", 9)):
         trie.add(w, n)
     assert trie.search("abx", 1)[1:] == (-9, "abd") and trie.search("abc", 1)[:2] == (0.0, -5)
+
+
+def test_cases_that_only_the_automaton_solves(spark):
+    texts = ["Section"] * 50 + ["Sect1on", "Ｓect1​on", "C0l0nel", "A1b"] + ["Colonel"] * 60 + ["ハンガー"] * 3 + ["ﾊﾝｶ​ﾞ一"]
+    got = run(spark, texts)
+    at = {t: got[i] for i, t in enumerate(texts)}
+    assert [at[t] for t in ("Sect1on", "Ｓect1​on", "C0l0nel", "A1b")] == [("Section", True), ("Section", True), ("Colonel", True), ("A1b", False)]
+    assert at["ﾊﾝｶ​ﾞ一"] == ("ハンガー", True)
+    assert all(lookalike.by_table(lookalike.fold(t)) != "Section" for t in ("Sect1on", "Ｓect1​on"))
+
+
+def test_look_alikes_of_many_scripts(spark):
+    signs = lookalike.public_signs(spark)
+    assert (signs.latin["օ"], signs.latin["Օ"] if "Օ" in signs.latin else "O", signs.latin["ո"]) == ("o", "O", "n") and len(signs.latin) > 100
+    assert run(spark, ["Cօlօnel", "Ստեփան"]) == {0: ("Colonel", True), 1: ("Ստեփան", False)}
+
+
+def test_words_and_units_keep_what_is_written():
+    assert lookalike.words_of("Ｍin​yu か゛x, 3rd Sect1on 12ab ēa") == ["Ｍin​yu", "か゛x", "rd", "Sect1on", "ab", "ēa"]
+    trie = lookalike.Trie()
+    trie.add("ハンガー", 3)
+    assert trie.search("​ﾊﾝｶ​ﾞ一​") == (0.0, -3, "ハンガー")
+    assert trie.search("ﾊﾝｶﾞ", 1, 1.0)[0] == 1.0 and trie.search("ﾊﾝｶﾞ", 1, 2.0) is None
+
+
+def test_many_replacements_meet_their_texts_by_digest(spark, monkeypatch):
+    small = run(spark, [c[0] for c in CASES] * 2)
+    monkeypatch.setattr(lookalike, "BROADCAST_BYTES", -1)
+    assert run(spark, [c[0] for c in CASES] * 2) == small
