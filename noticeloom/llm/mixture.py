@@ -24,8 +24,9 @@ from . import quality
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the usual cutting pattern of byte-level vocabularies of this size.
 CUT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Ranges of the key for each source.
-RANGES = 4096
+#: Ranges of the key for each factor e by which it grows. Keys are exponential, whatever the weights, so that none of these
+#: ranges holds more than a share of 0.4 / RANGES of a source.
+RANGES = 256
 
 
 @lru_cache(2)
@@ -39,18 +40,7 @@ def _encoding(path: str):
 
 def token_count(text: str | None, path: str = TOKENIZER) -> int:
     """Tokens of the whole text; 0 for null."""
-    if not text:
-        return 0
-    # bounded pieces keep one endless word from taking quadratic time; a piece ends at a blank or a line's end if it can
-    total, at = 0, 0
-    while at < len(text):
-        end = at + 50_000
-        if end < len(text):
-            cut = max(text.rfind("\n", at, end), text.rfind(" ", at, end))
-            end = cut if cut > at else end
-        total += len(_encoding(path).encode_ordinary(text[at:end]))
-        at = end
-    return total
+    return len(_encoding(path).encode_ordinary(text)) if text else 0
 
 
 def source_key(label: Column) -> Column:
@@ -113,7 +103,7 @@ def mix(docs: DataFrame, targets: DataFrame, *, total: float | None = None, toke
     unique = counted.groupBy("doc_id", "key").agg(F.max("n_tokens").alias("n_tokens"), F.max("weight").alias("weight")).where("n_tokens > 0")
     uniform = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     keyed = unique.withColumn("order", -F.log(uniform) / F.col("weight"))
-    pool = scratch.keep(keyed.withColumn("range", F.floor(ranges * (1 - F.exp(-0.5 * F.col("order")))).cast("int")))
+    pool = scratch.keep(keyed.withColumn("range", F.floor(ranges * F.log(F.greatest("order", F.lit(1e-300)))).cast("int")))
     sizes = {r.key: r for r in pool.groupBy("key").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents")).toLocalIterator()}
     drawn = budgets({k: r.tokens for k, r in sizes.items()}, {k: (r.target_share or 0.0, r.max_repeats or 0) for k, r in goals.items()}, total)
     rows = []

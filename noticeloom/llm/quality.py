@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -59,55 +60,80 @@ def _ratio(a: Column, b: Column) -> Column:
 def measures(text: Column) -> dict[str, Column]:
     """Statistics that need nothing but the text: symbol_share and line_end_share."""
     t = F.coalesce(text, F.lit(""))
-    dense = F.regexp_replace(t, BLANKS, "")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.regexp_replace(x, BLANKS, "")) > 0)
-    ended = F.filter(lines, lambda x: F.regexp_replace(x, r"[ \t\r\x{3000}]+$", "").rlike(END))
-    return {"symbol_share": _ratio(F.length(F.regexp_replace(dense, LETTERS, "")), F.length(dense)), "line_end_share": _ratio(F.size(ended), F.size(lines))}
+    dense = F.length(F.regexp_replace(t, f"{BLANKS}+", ""))
+    symbols = F.length(F.regexp_replace(t, f"(?:{BLANKS}|{LETTERS})+", ""))
+    lines = F.regexp_count(t, F.lit(rf"(?m)^[ \t\r\x{{3000}}]*[^ \t\r\n\x{{3000}}]"))
+    ended = F.regexp_count(t, F.lit(END[:-1] + r"[ \t\r\x{3000}]*(?:\n|\z)"))
+    return {"symbol_share": _ratio(symbols, dense), "line_end_share": _ratio(ended, lines)}
 
 
-_WORDS = re.compile("[㐀-鿿々]+|[ぁ-ゟ]+|[ァ-ヿ]+|[A-Za-zÀ-ɏ]+|[0-9]+")
+_WORDS = re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), WORD))
 _MARK = re.compile(r"\s*(?:[-*+•・※→☐■□○●◎▪◦‣–—>]+\s*(?:\[[ xX]?\]\s*)?|(?:No\.|§|第)?\s*[(（\[]?\d{1,3}[.)）\]:、．]\s*|No\.\d+\s|[(（]\w{1,4}[)）]\s*|(?:[a-zA-Z]|[ivxIVX]{1,4}|[ア-ン]|[一二三四五六七八九十]{1,2})[ .)、．]\s*)(?=\S)")
 _ENDS = tuple("。．.!?！？」』")
-_FIELD = {"tab": re.compile("\t"), "bar": re.compile(r"\|"), "comma": re.compile(r",(?! )|、(?=\S{0,12}、)"), "semi": re.compile(";"), "gap": re.compile(r"(?<=\S) {2,}(?=\S)"), "colon": re.compile(r"[:：] ")}
+#: What separates columns: a sign that every separation holds, and its pattern where the sign alone is not enough.
+_FIELD = {"tab": ("\t", None), "bar": ("|", None), "comma": (",", re.compile(r",(?! )")), "ideographic comma": ("、", re.compile(r"、(?=\S{0,12}、)")), "semi": (";", None), "gap": ("  ", re.compile(r"(?<=\S) {2,}(?=\S)")), "colon": (":", re.compile(r": ")), "wide colon": ("：", re.compile(r"： "))}
+_SUMMED = {"comma": "ideographic comma", "colon": "wide colon"}
+_SENTENCE, _RUN = re.compile("[。．.!?！？\n]"), re.compile(r"(\S)\1{3,}")
+_NO_VOWELS = str.maketrans("", "", "aeiouyAEIOUYāēīōū")
 FEATURES = 42
 
 
+_SORTS = ("space", "hira", "kata", "kanji", "digit", "capital", "latin", "half", "odd")
+
+
+def _sort(o: int) -> int:
+    """What a character is, as a place in _SORTS; capitals are Latin ones."""
+    c = chr(o)
+    if c.isspace():
+        return 0
+    if 0x3041 <= o <= 0x309F:
+        return 1
+    if 0x30A1 <= o <= 0x30FF:
+        return 2
+    if 0x3400 <= o <= 0x9FFF or o == 0x3005:
+        return 3
+    if c.isdigit():
+        return 4
+    if o < 0x250 and c.isalpha():
+        return 5 if c.isupper() else 6
+    return 7 if 0xFF61 <= o <= 0xFF9F or o == 0xFFFD else 8
+
+
+@lru_cache(1)
+def _sorts() -> np.ndarray:
+    """_sort() of the basic plane; what lies beyond is odd."""
+    return np.array([_sort(o) for o in range(0x10000)] + [8], np.uint8)
+
+
+def _columns(text: str, lines: list[str]) -> dict[str, Counter]:
+    """For each separator the numbers of lines by how often it occurs in them."""
+    found = {}
+    for name, (sign, pattern) in _FIELD.items():
+        per = [0] * len(lines) if sign not in text else [len(pattern.findall(x)) if sign in x else 0 for x in lines] if pattern else [x.count(sign) for x in lines]
+        found[name] = per
+    for name, other in _SUMMED.items():
+        more = found.pop(other)
+        found[name] = [a + b for a, b in zip(found[name], more)]
+    return {name: Counter(per) for name, per in found.items()}
+
+
 def features(text: str | None, common: frozenset[str]) -> list[float]:
     """Numbers that describe the whole of `text`."""
     text = text or ""
     lines = [x for x in text.split("\n") if x.strip()]
     n, k = len(text), max(1, len(lines))
-    dense = max(1, sum(not c.isspace() for c in text))
-    hira = kata = kanji = latin = digit = odd = half = 0
-    counts = Counter(text)
-    for c, m in counts.items():
-        o = ord(c)
-        if 0x3041 <= o <= 0x309F:
-            hira += m
-        elif 0x30A1 <= o <= 0x30FF:
-            kata += m
-        elif 0x3400 <= o <= 0x9FFF or o == 0x3005:
-            kanji += m
-        elif c.isdigit():
-            digit += m
-        elif o < 0x250 and c.isalpha():
-            latin += m
-        elif 0xFF61 <= o <= 0xFF9F or o == 0xFFFD:
-            half += m
-        elif not c.isspace():
-            odd += m
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    space, hira, kata, kanji, digit, capitals, small, half, odd = np.bincount(_sorts()[np.minimum(codes, 0x10000)], minlength=len(_SORTS)).tolist()
+    latin, dense = capitals + small, max(1, n - space)
     sizes = [len(x) for x in lines] or [0]
     longest, mean = max(sizes), sum(sizes) / k
-    spread = (sum((s - mean) ** 2 for s in sizes) / k) ** 0.5
+    spread = (sum([(s - mean) ** 2 for s in sizes]) / k) ** 0.5
     marked = [bool(_MARK.match(x)) for x in lines]
-    ended = [x.rstrip().endswith(_ENDS) for x in lines]
-    heads = Counter(x.lstrip()[:1] for x in lines)
-    fields = []
-    for pattern in _FIELD.values():
-        per = Counter(len(pattern.findall(x)) for x in lines)
-        held = {c: m for c, m in per.items() if c}
-        fields.append(max(held.values(), default=0) / k)
-    several = [m for name in ("tab", "bar", "comma", "semi", "gap") for m in [Counter(len(_FIELD[name].findall(x)) for x in lines)]]
+    ended = sum([x.rstrip().endswith(_ENDS) for x in lines])
+    heads = Counter([x.lstrip()[:1] for x in lines])
+    columns = _columns(text, lines)
+    fields = [max((m for c, m in columns[name].items() if c), default=0) / k for name in ("tab", "bar", "comma", "semi", "gap", "colon")]
+    several = [columns[name] for name in ("tab", "bar", "comma", "semi", "gap")]
     table = max(max((m for c, m in per.items() if c >= 2), default=0) / k for per in several)
     two = max(max((m for c, m in per.items() if c >= 1), default=0) / k for per in several)
     words = _WORDS.findall(text)
@@ -115,24 +141,24 @@ def features(text: str | None, common: frozenset[str]) -> list[float]:
     pieces = text.split()
     p = max(1, len(pieces))
     top = Counter(pieces).most_common(1)
-    sentences = [s.strip() for s in re.split("[。．.!?！？\n]", text) if s.strip()]
+    sentences = [s.strip() for s in _SENTENCE.split(text) if s.strip()]
     s = max(1, len(sentences))
     roman = [x for x in words if x[0] < "ɐ" and x[0].isalpha()]
-    r = max(1, len(roman))
-    vowels = sum(c in "aeiouyAEIOUYāēīōū" for x in roman for c in x) / max(1, sum(map(len, roman)))
+    r, letters = max(1, len(roman)), "".join(roman)
+    vowels = 1 - len(letters.translate(_NO_VOWELS)) / len(letters) if letters else 0.0
     raw = text.encode("utf-8", "replace")
-    run = max((len(m) for m in re.findall(r"((\S)\2{3,})", text) for m in m[:1]), default=0)
-    mixed = sum(1 for x in pieces if len(x) > 11 and any(c.isdigit() for c in x) and any(c.isupper() for c in x) and any(c.islower() for c in x))
-    full = [x for x in sizes if x >= 0.8 * longest]
+    run = max([m.end() - m.start() for m in _RUN.finditer(text)], default=0)
+    mixed = sum([any(c.isdigit() for c in x) and any(c.isupper() for c in x) and any(c.islower() for c in x) for x in pieces if len(x) > 11]) if digit and capitals else 0
+    full = sum([x >= 0.8 * longest for x in sizes])
     return [
-        min(n, 4000), len(lines), mean, spread / max(1, mean), longest,
+        n, len(lines), mean, spread / max(1, mean), longest,
         hira / dense, kata / dense, kanji / dense, latin / dense, digit / dense, odd / dense, half / dense,
-        sum(marked) / k, sum(ended) / k, sum(marked[1:]) / max(1, k - 1), max(heads.values(), default=0) / k,
-        *fields, table, two, len(words) / dense, sum(map(len, words)) / w, sum(x in common for x in words) / w,
-        len(set(words)) / w, p / dense, top[0][1] / p if p > 4 else 0, sum(len(x) <= 2 for x in pieces) / p,
+        sum(marked) / k, ended / k, sum(marked[1:]) / max(1, k - 1), max(heads.values(), default=0) / k,
+        *fields, table, two, len(words) / dense, sum(map(len, words)) / w, sum([x in common for x in words]) / w,
+        len(set(words)) / w, p / dense, top[0][1] / p if p > 4 else 0, sum([len(x) <= 2 for x in pieces]) / p,
         len(set(sentences)) / s, sum(map(len, sentences)) / s, s / k,
-        vowels, sum(len(x) > 15 for x in roman) / r, mixed / p, len(zlib.compress(raw, 1)) / max(20, len(raw)),
-        run / dense, len(counts) / dense**0.5, len(full) / k, sum(c.isupper() for c in text) / max(1, latin),
+        vowels, sum([len(x) > 15 for x in roman]) / r, mixed / p, len(zlib.compress(raw, 1)) / max(20, len(raw)),
+        run / dense, len(set(text)) / dense**0.5, full / k, capitals / max(1, latin),
     ]
 
 
@@ -154,21 +180,30 @@ def train(docs: DataFrame, labels: DataFrame, common: list[str], weak_sample: in
     """Trees fitted on weakly labelled documents and half of the hand labels, calibrated on the other half.
 
     Both samples are bounded and drawn by the hash of the id; of several hand labels of a document the most frequent
-    counts, and documents without a majority are left out. Only this fitting is sampled; scoring covers every document.
+    counts, and documents without a majority are left out. Only this fitting is sampled; scoring covers every document. The
+    statistics are computed where the texts are; the driver sees numbers only.
     """
     words = frozenset(common)
     votes = labels.where(F.col("kind").isin(*KINDS)).groupBy("doc_id", "kind").count()
     most = votes.groupBy("doc_id").agg(F.max(F.struct("count", "kind")).alias("best"), F.sum("count").alias("all")).where("2 * best.count > all")
-    rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
-    hand = rows.join(most.select("doc_id", F.col("best.kind").alias("kind")), "doc_id").orderBy("h").limit(hand_sample)
-    weak = rows.join(most.select("doc_id"), "doc_id", "left_anti").orderBy("h").limit(weak_sample)
-    x, y, weight, held, truth = [], [], [], [], []
-    for row in hand.toLocalIterator():
-        (held if row.h % 2 else x).append(features(row.text, words))
-        (truth if row.h % 2 else y).append(KINDS.index(row.kind))
+    rows = docs.select("doc_id", F.xxhash64("doc_id").alias("h"))
+    hand = rows.join(most.select("doc_id", F.col("best.kind").alias("kind")), "doc_id").orderBy("h", "doc_id").limit(hand_sample)
+    weak = rows.join(most.select("doc_id"), "doc_id", "left_anti").orderBy("h", "doc_id").limit(weak_sample).withColumn("kind", F.lit(None).cast("string"))
+    drawn = docs.join(F.broadcast(hand.unionByName(weak)), "doc_id").select("h", "kind", "text")  # at most both samples' ids
+
+    def shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"h": pdf["h"], "kind": pdf["kind"], "x": [features(t, words) for t in pdf["text"]]})
+
+    x, y, weight, held, truth, unsure = [], [], [], [], [], []
+    for row in sorted(drawn.mapInPandas(shapes, "h long, kind string, x array<double>").toLocalIterator(), key=lambda r: (r.h, r.kind or "", r.x)):
+        if row.kind is None:
+            unsure.append(row.x)
+        else:
+            (held if row.h % 2 else x).append(row.x)
+            (truth if row.h % 2 else y).append(KINDS.index(row.kind))
     weight = [2.0] * len(y)
-    for row in weak.toLocalIterator():
-        f = features(row.text, words)
+    for f in unsure:
         if kind := weak_kind(f):
             x.append(f)
             y.append(KINDS.index(kind))

@@ -60,3 +60,21 @@ def test_empty_and_long(spark):
     assert mixture.mix(docs, targets.limit(0)).report.count() == 0
     assert mixture.token_count("あ" * 120_000) > 0 and mixture.token_count(None) == 0
     assert quality.COMMON > 0
+
+
+def test_long_texts_without_blanks_are_counted_whole():
+    text = "漢字仮名交じりの文" * 30_000
+    whole = len(mixture._encoding(mixture.TOKENIZER).encode_ordinary(text))
+    assert mixture.token_count(text) == whole > 200_000
+
+
+def test_shares_at_scale_and_with_light_documents(spark):
+    rows = [(i, "w " * (1 + i % 40) if i % 3 else "; " * (1 + i % 40), f"S-{i % 3}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("s0", 0.5, 2), ("s1", 0.3, 2), ("S 2", 0.2, 2)], "source string, target_share double, max_repeats int")
+    got = mixture.mix(docs, targets)
+    report = {r.source: r for r in got.report.collect()}
+    total = sum(r.drawn_tokens for r in report.values())
+    assert all(abs(r.share - r.target_share) < 0.001 and r.most_copies <= 2 for r in report.values())
+    copies = {(r.doc_id): r.copies for r in got.drawn.collect()}
+    assert sum(mixture.token_count(t) * copies.get(i, 0) for i, t, _ in rows) == total
