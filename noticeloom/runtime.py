@@ -11,7 +11,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Estimated bytes up to which a side may be broadcast. Of a written table these are compressed bytes, which unfold to ten
@@ -48,6 +48,12 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def counted(self, df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
+        """keep() and the number of rows for which `condition` holds, counted while they are written."""
+        seen = Observation()
+        kept = self.keep(df.observe(seen, F.count_if(condition).alias("n")))
+        return kept, seen.get["n"] or 0
+
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables of keep() that nothing reads any more."""
         for df in frames:

@@ -67,3 +67,16 @@ def test_only_loops_and_empty(spark):
 def test_several_parents_take_the_greatest(spark):
     df = spark.createDataFrame([(1, 2), (1, 3), (2, None), (3, None)], "id long, up long")
     assert {r.id: r.root_id for r in hierarchy.roots_and_depths(df, "id", "up").where(F.col("id") == 1).collect()} == {1: 3}
+
+
+def test_trees_of_a_task_and_in_rounds_are_numbered_alike(spark):
+    import random
+
+    from noticeloom.operators import hierarchy
+
+    r = random.Random(8)
+    rows = [(i, None if i % 40 == 0 else r.randrange(i - i % 40, i)) for i in range(400)] + [(1000 + i, 1001 + i if i < 90 else None) for i in range(91)] + [(5000, 5001), (5001, 5000)]
+    df = spark.createDataFrame(rows, "id long, p long")
+    collected = lambda n: sorted((x.id, x.parent or -1, x.root_id, x.depth, x.lo, x.hi, x.n_descendants, tuple(x.path or ())) for x in hierarchy.nested_sets(df, "id", "p", tree_rows=n).collect() if x.lo is not None)
+    one = collected(1000)
+    assert one == collected(40) == collected(0) and len(one) == 491
