@@ -28,3 +28,19 @@ def records(sections: DataFrame, body: str = "section_text", pattern: str | None
     cut = (lambda x: text.columns(x, pattern)) if pattern else text.columns
     out = sections.select("*", F.posexplode(text.lines(F.col(body))).alias("record_index", "__line")).withColumn("raw_fields", cut(F.col("__line"))).drop("__line")
     return out.withColumn("extraction_score", scoring.extraction_score(F.col("raw_fields"))).where(F.col("extraction_score") >= keep)
+
+
+def section_records(found: DataFrame, detected: DataFrame, doc: str = "doc_id", index: str = "page_index") -> DataFrame:
+    """The rows of sections() of documents whose layout was found, with layout_id, section_label (the header) and page_range
+    (JSON [page, page]). Documents of no layout yield nothing."""
+    known = detected.where(F.col("layout_id").isNotNull()).select(doc, "layout_id")
+    page = F.col(index).cast("string")
+    return found.where("section_text <> ''").join(known, doc).withColumns({"section_label": F.col("header"), "page_range": F.concat(F.lit("["), page, F.lit(","), page, F.lit("]"))})
+
+
+def zipped(rows: DataFrame, left: str, right: str) -> DataFrame:
+    """One row for each position of the arrays `left` and `right` of a row, with both elements; arrays of unequal length are
+    an error."""
+    pairs = F.when(F.size(left) == F.size(right), F.arrays_zip(left, right)).otherwise(F.raise_error(F.lit("arrays of unequal length")))
+    rest = [c for c in rows.columns if c not in (left, right)]
+    return rows.select(*rest, F.posexplode(pairs).alias("position", "__p")).select(*rest, "position", F.col(f"__p.{left}").alias(left), F.col(f"__p.{right}").alias(right))

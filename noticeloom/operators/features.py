@@ -64,3 +64,20 @@ def sequence_checksum(rows: DataFrame, parts: list[Column], order: list[str]) ->
 
     texts = rows.select(*order, ended.alias("text")).repartition(1).sortWithinPartitions(*order).select("text")
     return texts.mapInPandas(digest, "n long, checksum string")
+
+
+def feature(vector: Column, name: str, default: float) -> Column:
+    """A feature of a map, or the default where it is missing or null."""
+    return F.coalesce(F.try_element_at(vector, F.lit(name)), F.lit(default))
+
+
+def quarantined(rows: DataFrame, vector: str = "features") -> tuple[DataFrame, DataFrame]:
+    """Rows whose rates and confidences are all within [0, 1], and the others with `outside`, the entries that are not."""
+    told = rows.withColumn("outside", in_range(F.col(vector)))
+    return told.where(F.size("outside") == 0).drop("outside"), told.where(F.size("outside") > 0)
+
+
+def same_keys(a: Column, b: Column) -> Column:
+    """Whether two arrays of (name, value) have the same set of names."""
+    names = lambda x: F.array_sort(F.array_distinct(F.transform(x, lambda f: f["name"])))
+    return names(a).eqNullSafe(names(b))

@@ -108,3 +108,13 @@ def validate(values: DataFrame, allowed: DataFrame, record: str = "record_id") -
     grouped = met.groupBy(record).agg(F.count("semantic").alias("checkable"), F.count_if(bad).alias("errors"), F.count_if(F.col("semantic").isNull()).alias("warnings"))
     score = F.when(F.col("checkable") == 0, 0.5).otherwise((F.col("checkable") - F.col("errors")) / F.col("checkable"))
     return grouped.select(record, F.when(F.col("errors") > 0, "failed").otherwise("passed").alias("status"), score.alias("score"), "errors", "warnings")
+
+
+def scoped_patterns(rows: DataFrame, rules: list[tuple[str, str, str]], scope: str, value: str) -> DataFrame:
+    """`rows` with `value` rewritten by the rules (scope, pattern, replacement) of its scope, in order; scope `*` holds for
+    all. The rules are a short list of the dictionary and go into the plan."""
+    out = F.col(value)
+    for where, pattern, to in rules:
+        done = F.regexp_replace(out, F.lit(pattern), F.lit(to))
+        out = done if where == "*" else F.when(F.col(scope) == where, done).otherwise(out)
+    return rows.withColumn(value, out)

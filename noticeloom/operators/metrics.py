@@ -55,3 +55,28 @@ def health(jobs: DataFrame, keys: list[str], now: Column) -> DataFrame:
     ok = F.max(F.when(F.col("status") == "succeeded", F.col("finished_at")))
     out = jobs.groupBy(*keys).agg(F.max("started_at").alias("last_start"), ok.alias("last_success"))
     return out.withColumn("hours_since", elapsed_ms(F.col("last_success"), now) / 3.6e6)
+
+
+def slope(rows: DataFrame, keys: list[str], time: str, unit: str = "week") -> DataFrame:
+    """keys, n_periods and slope: by how much the count of a period grows from one to the next, by least squares over the
+    periods that have rows; null for a single one."""
+    days = {"day": 1, "week": 7}[unit]
+    period = F.floor(F.datediff(F.col(time), F.lit("1970-01-05").cast("date")) / days)
+    counted = rows.where(F.col(time).isNotNull()).groupBy(*keys, period.alias("p")).agg(F.count("*").alias("n"))
+    return counted.groupBy(*keys).agg(F.count("*").alias("n_periods"), F.regr_slope(F.col("n").cast("double"), F.col("p").cast("double")).alias("slope"))
+
+
+def budget_burn(jobs: DataFrame, keys: list[str], target: float) -> DataFrame:
+    """keys, n_ended, burn (failures as a share of those that the target allows) and alert: 50, 80 or 100, the highest per
+    cent reached, else 0. Null burn where nothing ended."""
+    out = jobs.groupBy(*keys).agg(F.count_if(F.col("status") != "running").alias("n_ended"), F.count_if(F.col("status") == "failed").alias("bad"))
+    burn = F.when(F.col("n_ended") > 0, F.col("bad") / (F.col("n_ended") * (1 - target)))
+    alert = F.when(burn >= 1, 100).when(burn >= 0.8, 80).when(burn >= 0.5, 50).otherwise(0)
+    return out.select(*keys, "n_ended", burn.alias("burn"), alert.alias("alert"))
+
+
+def last_runs(jobs: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
+    """keys, n_runs and all_succeeded over the last `n` ended runs of each key."""
+    w = W.Window.partitionBy(*keys).orderBy(F.desc("started_at"), F.desc("id"))
+    last = jobs.where("status <> 'running'").withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= n)
+    return last.groupBy(*keys).agg(F.count("*").alias("n_runs"), F.every(F.col("status") == "succeeded").alias("all_succeeded"))

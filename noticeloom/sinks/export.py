@@ -41,6 +41,37 @@ def flatten(gold: DataFrame) -> DataFrame:
     return gold.select(*(made[c].alias(c) for c in COLUMNS))
 
 
+def nested(gold: DataFrame) -> DataFrame:
+    """id and json: the public record as a nested object, nulls kept."""
+    flat = flatten(gold)
+    both = lambda n: F.struct(F.col(f"{n}_value").alias("value"), F.col(f"{n}_raw").alias("raw")).alias(n)
+    source = F.struct(F.col("source_pdf_content_hash").alias("content_hash"), F.col("source_pdf_source_url").alias("source_url"), F.col("source_pdf_published_date").alias("published_date")).alias("source_pdf")
+    confidence = F.struct(F.col("confidence_score").alias("score"), F.col("confidence_band").alias("band")).alias("confidence")
+    record = F.struct("id", *map(both, ("person", "rank", "organization", "position")), "appointment_type", "effective_date", "version", "is_current", "superseded_by", source, "parser_version", "layout_era_id", confidence)
+    return flat.select("id", F.to_json(record, {"ignoreNullFields": "false"}).alias("json"))
+
+
+def unnested(records: DataFrame) -> DataFrame:
+    """The flat columns of nested(), parsed back."""
+    value = "struct<value:string,raw:string>"
+    schema = f"id string, person {value}, rank {value}, organization {value}, position {value}, appointment_type string, effective_date string, version long, is_current boolean, superseded_by string, source_pdf struct<content_hash:string,source_url:string,published_date:string>, parser_version string, layout_era_id string, confidence struct<score:double,band:string>"
+    r = F.from_json("json", schema)
+    paths = {c: c.rsplit("_", 1) for c in COLUMNS if c.rsplit("_", 1)[0] in ("person", "rank", "organization", "position", "confidence")}
+    paths |= {c: ["source_pdf", c.removeprefix("source_pdf_")] for c in COLUMNS if c.startswith("source_pdf_")}
+    return records.withColumn("r", r).select(*((F.col("r")[paths[c][0]][paths[c][1]] if c in paths else F.col("r")[c]).alias(c) for c in COLUMNS))
+
+
+def broken_constraints(flat: DataFrame) -> DataFrame:
+    """id and problem of public records that break the schema: required values, ids of the public form, versions from 1,
+    scores within [0, 1] and the bands that there are."""
+    tests = {
+        "id": F.coalesce(~F.col("id").rlike(r"^gold-\d{8,}$"), F.lit(True)), "person_value": F.col("person_value").isNull(), "appointment_type": F.col("appointment_type").isNull(),
+        "effective_date": F.coalesce(~F.col("effective_date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.lit(True)), "version": F.coalesce(F.col("version") < 1, F.lit(True)), "superseded_by": F.coalesce(~F.col("superseded_by").rlike(r"^gold-\d{8,}$"), F.lit(False)),
+        "confidence_score": F.coalesce(~F.col("confidence_score").between(0, 1), F.lit(True)), "confidence_band": F.coalesce(~F.col("confidence_band").isin("verified", "high", "medium", "low"), F.lit(True)),
+    }
+    return flat.select("id", F.explode(F.array_compact(F.array(*(F.when(bad, name) for name, bad in tests.items())))).alias("problem"))
+
+
 def content_hash(rows: DataFrame) -> DataFrame:
     """n and content_hash of the rows whatever their order and files: sums of pieces of each row's SHA-256, hashed. The
     sums combine map-side, so nothing is sorted or gathered; rows repeated count each time. Values are joined with bars;
@@ -118,3 +149,29 @@ def publish(spark: SparkSession, staged: str, target: str) -> None:
         fs.delete(old, True)
         fs.rename(place, old)
     fs.rename(new, place)
+
+
+def publish_if_clean(spark: SparkSession, findings: DataFrame, staged: str, target: str) -> None:
+    """publish(), unless the audit (check_id, severity, n) has an error with findings; then nothing is moved."""
+    bad = [r.check_id for r in findings.where("severity = 'error' and n > 0").select("check_id").distinct().orderBy("check_id").toLocalIterator()]
+    if bad:
+        raise ValueError(f"not published: {', '.join(bad)}")
+    publish(spark, staged, target)
+
+
+#: Writers by format; callers may add their own.
+WRITERS = {"csv": write_csv, "json": write_json, "json_array": write_json_array, "parquet": write_parquet}
+
+
+def export(rows: DataFrame, fmt: str, path: str, ledger: str, at: str) -> DataFrame:
+    """Write `rows` in a format and append artifact() of them to the table of runs in `ledger`; returns that row."""
+    if fmt not in WRITERS:
+        raise ValueError(f"format must be one of {sorted(WRITERS)}")
+    WRITERS[fmt](rows, path)
+    artifact(rows, fmt, at, path).write.mode("append").parquet(ledger)
+    return rows.sparkSession.read.parquet(ledger).where(F.col("destination") == path)
+
+
+def recent_exports(spark: SparkSession, ledger: str, n: int = 10) -> DataFrame:
+    """The last `n` runs."""
+    return spark.read.parquet(ledger).orderBy(F.desc("as_of"), "export_id").limit(n)

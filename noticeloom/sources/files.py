@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -11,10 +12,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Versions known to be readable, size from which a file is large, dictionary categories in loading order.
+# Versions known to be readable, size from which a file is large, dictionary categories and their folders in
+# loading order.
 VERSIONS = ("1.0", "1.1", "1.2", "1.3", "1.4", "1.5", "1.6", "1.7", "2.0")
 LARGE = 50 * 1024 * 1024
-CATEGORIES = ("organization", "position", "rank", "alias", "historical", "typography", "layout", "validation")
+CATEGORIES = {"organization": "organizations", "position": "positions", "rank": "ranks", "alias": "aliases", "historical": "historical", "typography": "typography", "layout": "layout_notes", "validation": "validation"}
 
 
 def stored(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
@@ -78,16 +80,23 @@ def manifests(spark: SparkSession, root: str) -> DataFrame:
 
 
 def dictionary(spark: SparkSession, root: str) -> DataFrame:
-    """The items of `<category>/**/*.yaml` under root, numbered from 1 in loading order; a missing folder holds none, an
-    item without key or value is an error."""
+    """The items of `<folder of a category>/**/*.yaml` under root, numbered from 1 in loading order. A missing folder holds
+    none; a missing root, a file that is no mapping with a list of items, and an item without item_key, canonical_value or
+    provenance_source are errors. Dictionaries are curated by hand and read by the driver."""
+    if not Path(root).is_dir():
+        raise FileNotFoundError(root)
     rows = []
-    for category in CATEGORIES:
-        for path in sorted((Path(root) / category).rglob("*.yaml")):
-            for x in (_yaml(path) or {}).get("items") or []:
-                if x.get("key") is None or x.get("value") is None:
-                    raise ValueError(f"{path}: an item needs key and value")
-                n = len(rows) + 1
-                rows.append((n, category, str(path.relative_to(root)), str(x["key"]), str(x["value"]), x.get("effective_from"), x.get("effective_to"), str(x.get("source", "")), int(x.get("version", 1)), n))
+    for category, folder in CATEGORIES.items():
+        for path in sorted((Path(root) / folder).rglob("*.yaml")):
+            whole = _yaml(path)
+            items = whole.get("items", []) if isinstance(whole, dict) else None
+            if not isinstance(items, list):
+                raise ValueError(f"{path}: a mapping with a list of items is needed")
+            for x in items:
+                if not isinstance(x, dict) or (missing := {"item_key", "canonical_value", "provenance_source"} - set(x)):
+                    raise ValueError(f"{path}: an item lacks {sorted(missing) if isinstance(x, dict) else 'everything'}")
+                n, day = len(rows) + 1, [d if d is None or isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in (x.get("effective_from"), x.get("effective_to"))]
+                rows.append((n, category, path.relative_to(root).as_posix(), str(x["item_key"]), str(x["canonical_value"]), *day, str(x["provenance_source"]), int(x.get("version", 1)), n))
     return spark.createDataFrame(rows, "id long, category string, source_file string, item_key string, canonical_value string, effective_from date, effective_to date, provenance_source string, version int, ordinal int")
 
 
@@ -99,7 +108,7 @@ def fetch(url: str, expected: tuple[int, ...] = (200,), types: tuple[str, ...] =
         raise ValueError(f"scheme of {url} is not allowed")
     with urlopen(url, timeout=timeout) as answer:
         kind = (answer.headers.get("Content-Type") or "").split(";")[0].strip().lower()
-        if answer.status not in expected or types and kind not in types:
+        if answer.status not in expected or types and kind not in {t.lower() for t in types}:
             raise ValueError(f"{url}: status {answer.status}, type {kind}")
         return answer.read()
 

@@ -33,3 +33,29 @@ def drain(stream: DataFrame, target: str, checkpoint: str, mode: str = "append")
 def versions(stream: DataFrame, write, checkpoint: str) -> None:
     """Hand each micro-batch to write(rows, batch_id), which must be idempotent for a batch_id."""
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def latest_counts(stream: DataFrame, time: str, keys: list[str], target: str, checkpoint: str, window: str = "7 days", delay: str = "30 days") -> None:
+    """counts() with the windows that are still open: each micro-batch writes the counts that it changed to a folder of its
+    own number, which a repeated batch overwrites. read_latest() gives the last count of each window and key."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{target}/batch={batch}")
+
+    stream = counts(stream, time, keys, window, delay)
+    stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def read_latest(spark, target: str, keys: list[str]) -> DataFrame:
+    """start, keys and n of latest_counts()."""
+    return spark.read.parquet(target).groupBy("start", *keys).agg(F.max_by("n", "batch").alias("n"))
+
+
+def append_facts(stream: DataFrame, target: str, checkpoint: str) -> None:
+    """Facts as they arrive, each micro-batch in a folder of its own number, which a repeated batch overwrites. Versions are
+    read from all facts (operators.versions), so a late correction takes its place in the chain whenever it comes."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.distinct().write.mode("overwrite").parquet(f"{target}/batch={batch}")
+
+    versions(stream, write, checkpoint)

@@ -76,9 +76,18 @@ def test_manifests_and_dictionaries(spark, tmp_path):
     (tmp_path / "m" / "b" / "manifest.yaml").write_text("era_id: B\nversion: 2\nrules: []\n")
     with pytest.raises(ValueError):
         files.manifests(spark, str(tmp_path / "m"))
-    (tmp_path / "k" / "rank").mkdir(parents=True)
-    (tmp_path / "k" / "rank" / "x.yaml").write_text("items:\n- {key: a, value: b, effective_from: 2020-01-01}\n- {key: c, value: d}\n")
-    assert [(r.id, r.category, r.item_key, r.effective_from) for r in files.dictionary(spark, str(tmp_path / "k")).orderBy("id").collect()] == [(1, "rank", "a", dt.date(2020, 1, 1)), (2, "rank", "c", None)]
+    (tmp_path / "k" / "ranks").mkdir(parents=True)
+    (tmp_path / "k" / "layout_notes" / "deep").mkdir(parents=True)
+    (tmp_path / "k" / "ranks" / "x.yaml").write_text("items:\n- {item_key: a, canonical_value: b, effective_from: 2020-01-01, provenance_source: p}\n- {item_key: 3, canonical_value: d, effective_to: '2021-01-01', provenance_source: p, version: 2}\n")
+    (tmp_path / "k" / "layout_notes" / "deep" / "y.yaml").write_text("items:\n- {item_key: L.column_1, canonical_value: name, provenance_source: p}\n")
+    got = [tuple(r) for r in files.dictionary(spark, str(tmp_path / "k")).orderBy("id").collect()]
+    assert got == [(1, "rank", "ranks/x.yaml", "a", "b", dt.date(2020, 1, 1), None, "p", 1, 1), (2, "rank", "ranks/x.yaml", "3", "d", None, dt.date(2021, 1, 1), "p", 2, 2), (3, "layout", "layout_notes/deep/y.yaml", "L.column_1", "name", None, None, "p", 1, 3)]
+    for bad in ("- a\n", "items: {a: 1}\n", "items:\n- {item_key: a, canonical_value: b}\n", "items:\n- a\n"):
+        (tmp_path / "k" / "ranks" / "x.yaml").write_text(bad)
+        with pytest.raises(ValueError):
+            files.dictionary(spark, str(tmp_path / "k"))
+    with pytest.raises(FileNotFoundError):
+        files.dictionary(spark, str(tmp_path / "none"))
     with pytest.raises(ValueError):
         files.fetch("file:///etc/passwd")
 
