@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from ..runtime import Scratch, broadcast_if_small
+from ..runtime import Scratch, broadcast_if_small, spread
 
 #: Nodes of a tree that one task may number; larger trees are numbered in rounds.
 TREE_ROWS = 100_000
@@ -155,7 +155,7 @@ def nested_sets(df: DataFrame, id_col: str, parent_col: str, path: bool = True,
     large, n_large = up.scratch.counted(placed.groupBy("root_id").agg(F.count("*").alias("n")).where(F.col("n") > tree_rows).select("root_id"), F.lit(True))
     large = broadcast_if_small(large)
     small = placed.join(large, "root_id", "left_anti") if n_large else placed
-    out = small.repartition("root_id").sortWithinPartitions("root_id", "depth", "id").select("id", "parent", "root_id", "depth").mapInPandas(_numbered(path), _NUMBERED)
+    out = spread(small, "root_id").sortWithinPartitions("root_id", "depth", "id").select("id", "parent", "root_id", "depth").mapInPandas(_numbered(path), _NUMBERED)
     if n_large:
         out = out.unionByName(_in_rounds(up, placed.join(large, "root_id", "left_semi"), path))
     if up.loops is not None:

@@ -83,6 +83,13 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """`df` divided by keys among as many tasks as the session shuffles to, for work in Python whose rows are small: adaptive
+    execution would gather them by their bytes into a few tasks."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)
+
+
 def apart(df: DataFrame, names: list[str]) -> DataFrame:
     """`df` with columns that would clash with the result columns `names` renamed to <column>_in (case does not matter)."""
     taken, made = {c.lower() for c in df.columns}, {n.lower() for n in names}
