@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Scratch
+from ..runtime import Scratch, spread
 
 #: Strings of a crowded cell from which its pivots are chosen, and pivots tried for each division. Every string is placed.
 PIVOT_SAMPLE, PIVOTS = 4000, 10
@@ -278,7 +278,7 @@ def radius_join(strings: DataFrame, radius: int = 1, sample: int = PIVOT_SAMPLE,
                             mixed = (int(cell) * 0x9E3779B97F4A7C15 + number * 0xC2B2AE3D27D4EB4F) & ((1 << 64) - 1)
                             yield part.iloc[at].assign(cell=mixed - (1 << 63), native=held)[["cell", "block", "s", "visits", "native"]]
 
-        open_ = scratch.keep(open_.join(F.broadcast(crowded), "cell").repartition(F.col("s")).mapInPandas(place, schema))
+        open_ = scratch.keep(spread(open_.join(F.broadcast(crowded), "cell"), "s").mapInPandas(place, schema))
     cells = done[0]
     for more in done[1:]:
         cells = cells.unionByName(more)
@@ -305,7 +305,7 @@ def radius_join(strings: DataFrame, radius: int = 1, sample: int = PIVOT_SAMPLE,
 
     near = small.groupBy("cell").applyInPandas(meet, MET)
     # a string crosses the exchange with a hash of cell and remainder; the strings themselves are compared afterwards
-    came = large.repartition(F.col("s")).mapInPandas(come, "cell long, block string, left string, s string, member boolean, comes boolean, native boolean")
+    came = spread(large, "s").mapInPandas(come, "cell long, block string, left string, s string, member boolean, comes boolean, native boolean")
     came = scratch.keep(came.select(F.xxhash64("cell", "left").alias("key"), "block", "s", "member", "comes", "native"))
     there = came.where("member").select("key", "block", F.col("s").alias("x"), F.col("native").alias("own"))
     met = there.join(came.where("comes").select("key", F.col("block").alias("block2"), F.col("s").alias("y"), "native"), "key")

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import Scratch
+from ..runtime import Scratch, spread
 from . import lookalike, metric
 
 # Old forms of ideographs and their present forms.
@@ -299,7 +299,7 @@ def variants(names: DataFrame, titles: list[str] = (), scratch: Scratch | None =
                 out += [(kind, name, "nick", kind[0] + form, False, ending) for form, ending in r.nicks.items()]
             yield pd.DataFrame(out, columns=["kind", "name", "sort", "form", "lead", "ending"])
 
-    forms = scratch.keep(rows.repartition("name").mapInPandas(read, "kind string, name string, sort string, form string, lead boolean, ending string"))
+    forms = scratch.keep(spread(rows, "name").mapInPandas(read, "kind string, name string, sort string, form string, lead boolean, ending string"))
     full = scratch.keep(forms.where("sort = 'full'").select("form", "name", "kind", "lead").distinct())
     nicked = scratch.keep(_nicknames(forms.where("sort = 'nick'"), forms.where("sort = 'offer'")))
     different = full.groupBy("form").agg(F.max("lead").alias("visits"))
