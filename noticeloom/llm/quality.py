@@ -61,7 +61,7 @@ def measures(text: Column) -> dict[str, Column]:
     """Statistics that need nothing but the text: symbol_share and line_end_share."""
     t = F.coalesce(text, F.lit(""))
     dense = F.length(F.regexp_replace(t, f"{BLANKS}+", ""))
-    symbols = F.length(F.regexp_replace(t, f"(?:{BLANKS}|{LETTERS})+", ""))
+    symbols = F.length(F.regexp_replace(t, f"[{BLANKS[1:-1]}{LETTERS[1:-1]}]+", ""))
     lines = F.regexp_count(t, F.lit(rf"(?m)^[ \t\r\x{{3000}}]*[^ \t\r\n\x{{3000}}]"))
     ended = F.regexp_count(t, F.lit(END[:-1] + r"[ \t\r\x{3000}]*(?:\n|\z)"))
     return {"symbol_share": _ratio(symbols, dense), "line_end_share": _ratio(ended, lines)}
