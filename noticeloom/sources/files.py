@@ -29,9 +29,21 @@ def stored(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
     return raw.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "content", F.sha2("content", 256).alias("content_hash"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), version.alias("version"), warnings.alias("warnings"))
 
 
+_PAGE = "content_hash string, page_index int, text string, width double, height double, rotation int, image_count int, fonts array<string>, encrypted boolean, error string"
+
+
+def _fonts(page) -> list[str]:
+    """Names of the fonts that a page refers to, without the leading slash."""
+    known = page.get("/Resources") or {}
+    found = (known.get("/Font") or {}).values()
+    bases = (f.get_object().get("/BaseFont") for f in found if hasattr(f, "get_object"))
+    return sorted({str(base).lstrip("/") for base in bases if base is not None})
+
+
 def pages(files: DataFrame) -> DataFrame:
-    """content_hash, page_index, text, rotation, image_count of each page of stored(), with an optional reader library; a
-    file that cannot be read yields one row with null page_index and the error."""
+    """content_hash, page_index, text, width, height, rotation, image_count, fonts, encrypted of each page of stored(), with an
+    optional reader library. The text of a page that cannot be read is null; a file that cannot be read yields one row with
+    null page_index and the error."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         try:
@@ -46,17 +58,18 @@ def pages(files: DataFrame) -> DataFrame:
                 try:
                     if PdfReader is None:
                         raise RuntimeError("no reader library")
-                    for i, page in enumerate(PdfReader(io.BytesIO(content)).pages):
+                    reader = PdfReader(io.BytesIO(content))
+                    for i, page in enumerate(reader.pages):
                         try:
-                            body = page.extract_text() or ""
+                            body, images = page.extract_text() or "", len(page.images)
                         except Exception:
-                            body = ""
-                        rows.append((digest, i, body, int(page.get("/Rotate") or 0) % 360, len(page.images), None))
+                            body, images = None, None
+                        rows.append((digest, i, body, float(page.mediabox.width), float(page.mediabox.height), int(page.get("/Rotate") or 0) % 360, images, _fonts(page), bool(reader.is_encrypted), None))
                 except Exception as error:
-                    rows.append((digest, None, None, None, None, str(error)))
-            yield pd.DataFrame(rows, columns=["content_hash", "page_index", "text", "rotation", "image_count", "error"]).astype({"page_index": "Int32", "rotation": "Int32", "image_count": "Int32"})
+                    rows.append((digest, None, None, None, None, None, None, None, None, str(error)))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _PAGE.split(", ")]).astype({"page_index": "Int32", "rotation": "Int32", "image_count": "Int32"})
 
-    return files.select("content_hash", "content").mapInPandas(read, "content_hash string, page_index int, text string, rotation int, image_count int, error string")
+    return files.select("content_hash", "content").mapInPandas(read, _PAGE)
 
 
 def _yaml(path: Path):

@@ -108,3 +108,15 @@ def test_stream_equals_batch(spark, tmp_path):
     whole = ingest.arrivals(spark, str(tmp_path / "in"), df.schema)
     ingest.drain(ingest.counts(whole, "ts", [], "1 day", "1 day"), str(tmp_path / "n"), str(tmp_path / "cp3"))
     assert {r.start.day: r.n for r in spark.read.parquet(str(tmp_path / "n")).collect()} == {1: 8, 2: 8, 3: 10}  # the rest is still open
+
+
+def test_fonts_of_a_page():
+    class Ref:
+        def __init__(self, base):
+            self.base = base
+
+        def get_object(self):
+            return {"/BaseFont": self.base} if self.base else {}
+
+    page = {"/Resources": {"/Font": {"/F1": Ref("/MS-Mincho"), "/F2": Ref("/Arial"), "/F3": Ref(None), "/F4": Ref("/Arial"), "/F5": 3}}}
+    assert files._fonts(page) == ["Arial", "MS-Mincho"] and files._fonts({}) == [] and files._fonts({"/Resources": {}}) == []
