@@ -271,7 +271,9 @@ def replacements(texts: DataFrame, scratch: Scratch, signs: Signs = _SIGNS) -> D
 
 def rewritten(text: str, by: dict[str, str]) -> str:
     """`text` with its words replaced and every certain stand-in folded."""
-    return fold(_word()[0].sub(lambda m: by.get(m[0], m[0]), text) if by and not text.isascii() or _NUMBERED.search(text) else text)
+    if not by or text.isascii() and not _NUMBERED.search(text) or by.keys().isdisjoint(words_of(text)):
+        return fold(text)
+    return fold(_word()[0].sub(lambda m: by.get(m[0], m[0]), text))
 
 
 _NUMBERED = re.compile("[A-Za-z][01]+[A-Za-z]")
