@@ -249,12 +249,17 @@ def replacements(texts: DataFrame, scratch: Scratch, signs: Signs = _SIGNS) -> D
     frequent, then the smallest."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        @lru_cache(1 << 17)
+        def told(word: str) -> tuple[str, str, bool, bool]:
+            folded = fold(word)
+            return signs.shown(folded), signs.roughly(folded), _sound(word, signs), folded != word or bool(signs.doubt.search(folded))
+
         for pdf in batches:
             found: Counter = Counter()
             for text in pdf.text:
                 if text:
                     found.update(set(words_of(text)))
-            rows = [(w, n, signs.shown(f), signs.roughly(f), _sound(w, signs), f != w or bool(signs.doubt.search(f))) for w, n in found.items() for f in (fold(w),)]
+            rows = [(w, n, *told(w)) for w, n in found.items()]
             yield pd.DataFrame(rows, columns=["word", "n", "look", "rough", "sound", "doubt"])
 
     counted = texts.select("text").mapInPandas(count, "word string, n long, look string, rough string, sound boolean, doubt boolean")
