@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
@@ -140,23 +141,71 @@ def _divide(strings: list[str], native: np.ndarray, radius: int, tried: int, see
     return best
 
 
-def _tree(strings: list[str], native: np.ndarray, radius: int, tried: int, scale: float, rows: int, seed: int = 1) -> tuple[float, tuple | None]:
+@dataclass(eq=False)
+class _Cell:
+    """A cell while its tree is grown. least: what it costs at least, as far as its parts are known."""
+
+    at: np.ndarray
+    held: np.ndarray
+    seed: int
+    above: _Cell | None
+    here: float  # cost of the cell as it is
+    least: float
+    cutting: tuple[str, int, bool] | None = None
+    parts: list[_Cell] = field(default_factory=list)
+
+    def given_up(self) -> bool:
+        cell = self.above
+        while cell and cell.parts:
+            cell = cell.above
+        return cell is not None
+
+    def costs(self, least: float) -> None:
+        """At least so much; cells above that cost no more as they are lose their parts."""
+        cell = self
+        while cell:
+            more, cell.least = min(least, cell.here) - cell.least, min(least, cell.here)
+            if least >= cell.here:
+                cell.parts = []
+            cell, least = cell.above, cell.above.least + more if cell.above else 0.0
+
+    def nested(self) -> tuple | None:
+        return (*self.cutting, *(p.nested() for p in self.parts)) if self.parts else None
+
+
+def _tree(strings: list[str], native: np.ndarray, radius: int, tried: int, scale: float, rows: int) -> tuple[float, tuple | None]:
     """Cost in rows sent, and nested (pivot, cut, outward, inside, outside) or None for a cell that is left as it is. The
-    strings are one in `scale` of the cell's."""
-    n = len(strings)
-    here = n * (1 + min(n * scale / PAIRS_A_ROW, float(np.mean([len(s) for s in strings])) if n else 0.0))
-    if n * scale <= rows or n <= 8 or not (cutting := _divide(strings, native, radius, tried, seed)):
-        return here, None
-    pivot, cut, outward = cutting
-    d = distances([pivot], strings)[:, 0]
-    cost, parts = 0.0, []
-    for side, (there, own) in enumerate(zip(_sides(d, native, cut, outward, radius), (d <= cut, d > cut))):
-        at = np.flatnonzero(there)
-        if len(at) == n:
-            return here, None
-        price, part = _tree([strings[i] for i in at], (native & own)[at], radius, tried, scale, rows, seed * 2 + side)
-        cost, parts = cost + price, [*parts, part]
-    return (cost, (pivot, cut, outward, *parts)) if cost < here else (here, None)
+    strings are one in `scale` of the cell's.
+
+    The tree grows level by level. Parts cost at least the rows in them, so a cell is left as it is, and its parts are not
+    divided on, as soon as those rows are as many as it costs: the work is that many rows a level, not all parts of parts.
+    """
+    length = np.array([len(s) for s in strings], int)
+
+    def cell(at: np.ndarray, held: np.ndarray, seed: int, above: _Cell | None = None) -> _Cell:
+        n = len(at)
+        here = n * (1 + min(n * scale / PAIRS_A_ROW, float(length[at].mean()) if n else 0.0))
+        return _Cell(at, held, seed, above, here, float(n))
+
+    root = cell(np.arange(len(strings)), native, 1)
+    level = [root]
+    while level:
+        below = []
+        for c in level:
+            if c.given_up():
+                continue
+            n, texts = len(c.at), [strings[i] for i in c.at]
+            c.cutting = _divide(texts, c.held, radius, tried, c.seed) if n * scale > rows and n > 8 else None
+            if c.cutting:
+                pivot, cut, outward = c.cutting
+                d = distances([pivot], texts)[:, 0]
+                sides = list(zip(_sides(d, c.held, cut, outward, radius), (d <= cut, d > cut)))
+                if not any(there.all() for there, _ in sides):
+                    c.parts = [cell(c.at[there], (c.held & own)[there], c.seed * 2 + k, c) for k, (there, own) in enumerate(sides)]
+                    below += c.parts
+            c.costs(sum(part.least for part in c.parts) if c.parts else c.here)
+        level = below
+    return root.least, root.nested()
 
 
 def _place(tree, strings: list[str], native: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

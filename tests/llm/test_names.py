@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +43,35 @@ def test_radius_join_is_exact(spark, monkeypatch, radius):
     assert seen == {(a, b) for a, b in got if len(a) % 2 == 0 or len(b) % 2 == 0}
 
 
+def plain_tree(strings, native, scale, rows, seed=1):
+    n = len(strings)
+    here = n * (1 + min(n * scale / metric.PAIRS_A_ROW, sum(map(len, strings)) / n if n else 0))
+    if n * scale <= rows or n <= 8 or not (cutting := metric._divide(strings, native, 1, 6, seed)):
+        return here, None
+    d, parts = metric.distances([cutting[0]], strings)[:, 0], []
+    for side, (there, own) in enumerate(zip(metric._sides(d, native, cutting[1], cutting[2], 1), (d <= cutting[1], d > cutting[1]))):
+        at = np.flatnonzero(there)
+        if len(at) == n:
+            return here, None
+        parts.append(plain_tree([strings[i] for i in at], (native & own)[at], scale, rows, seed * 2 + side))
+    cost = sum(c for c, _ in parts)
+    return (cost, (*cutting, *(t for _, t in parts))) if cost < here else (here, None)
+
+
+@pytest.mark.parametrize("alphabet, lengths, n, scale, rows, most", [("abcdefgh漢字仮名", (2, 4, 5, 5, 7), 600, 2.0, 40, 40), ("abcdefghijklmnopqrst", (4, 8, 16, 32), 700, 3.0, 30, 150)])
+def test_the_best_tree_without_trying_parts_that_cannot_pay(monkeypatch, alphabet, lengths, n, scale, rows, most):
+    r = random.Random(n)
+    words = sorted({"".join(r.choice(alphabet) for _ in range(r.choice(lengths))) for _ in range(n)})
+    native = np.array([r.random() < 0.9 for _ in words])
+    tried, divide = [], metric._divide
+    monkeypatch.setattr(metric, "_divide", lambda *a: tried.append(a) or divide(*a))
+    cost, tree = metric._tree(words, native, 1, 6, scale, rows)
+    assert len(tried) <= most  # plainly, all parts of parts: some 100 and 2,000
+    if n == 600:
+        want, same = plain_tree(words, native, scale, rows)
+        assert tree == same and tree is not None and abs(cost - want) < 1e-6
+
+
 def test_components(spark):
     from noticeloom.runtime import Scratch
 
