@@ -294,28 +294,28 @@ def variants(names: DataFrame, titles: list[str] = (), scratch: Scratch | None =
             for kind, name in zip(pdf.kind, pdf.name):
                 r = read_person(name, before) if kind == "person" else read_organisation(name, known)
                 lead = min(r.full, default=None)  # one order of the parts looks for others, which are there in all orders
-                out += [(kind, name, sort, kind[0] + form, form == lead, None) for sort, forms in (("full", r.full), ("ask", r.asks)) for form in sorted(forms)]
+                out += [(kind, name, sort, kind[0] + form, form == lead, lead) for sort, forms in (("full", r.full), ("ask", r.asks)) for form in sorted(forms)]
                 out += [(kind, name, "offer", kind[0] + form, False, whole) for form, whole in r.offers.items() if form not in r.asks]
                 out += [(kind, name, "nick", kind[0] + form, False, ending) for form, ending in r.nicks.items()]
             yield pd.DataFrame(out, columns=["kind", "name", "sort", "form", "lead", "ending"])
 
     forms = scratch.keep(spread(rows, "name").mapInPandas(read, "kind string, name string, sort string, form string, lead boolean, ending string"))
-    full = scratch.keep(forms.where("sort = 'full'").select("form", "name", "kind", "lead").distinct())
+    full = scratch.keep(forms.where("sort = 'full'").select("form", "name", "kind", "lead", F.concat(F.substring("form", 1, 1), "ending").alias("first")).distinct())
     nicked = scratch.keep(_nicknames(forms.where("sort = 'nick'"), forms.where("sort = 'offer'")))
     different = full.groupBy("form").agg(F.max("lead").alias("visits"))
     nicknames = full.join(nicked.select("kind", "name").distinct(), ["kind", "name"], "left_semi").select("form").distinct()
     close = scratch.keep(_slips(different, nicknames, known, scratch))
-    # a form stands for all spellings that have it: forms are linked to each other and spellings to their forms
-    tie = full.select(F.concat(F.lit("f"), "form").alias("a"), F.concat(F.lit("n"), "kind", F.lit(":"), "name").alias("b"))
-    links = close.select(F.concat(F.lit("f"), "a").alias("a"), F.concat(F.lit("f"), "b").alias("b")).unionByName(tie)
+    # a form stands for all spellings that have it: a spelling is where its leading form is, its other forms are linked to that
+    links = close.select("a", "b").unionByName(full.where("not lead").select(F.col("first").alias("a"), F.col("form").alias("b")))
     whole = components(links, scratch)
-    by_name = full.select("kind", "name").distinct().withColumn("node", F.concat(F.lit("n"), "kind", F.lit(":"), "name")).join(whole, "node").select("kind", "name", "label")
-    by_name = scratch.keep(by_name)
-    # a nickname is no name to shorten
-    offering = forms.where("sort = 'offer'").select("kind", "name", "form").distinct().join(nicked.select("kind", "name").distinct(), ["kind", "name"], "left_anti").join(by_name, ["kind", "name"])
+    by_name = full.where("lead").select("kind", "name", "form").join(whole, F.col("form") == F.col("node"), "left")
+    by_name = scratch.keep(by_name.select("kind", "name", F.coalesce("label", "form").alias("label")))
+    asks = scratch.keep(forms.where("sort = 'ask'").select("kind", "name", "form").unionByName(nicked).distinct())
+    # a nickname is no name to shorten, and short forms that nobody asks for need no owner
+    offering = forms.where("sort = 'offer'").select("kind", "name", "form").join(asks.select("form").distinct(), "form", "left_semi").distinct().join(nicked.select("kind", "name").distinct(), ["kind", "name"], "left_anti").join(by_name, ["kind", "name"])
     offers = offering.groupBy("form").agg(F.min("label").alias("label"), F.max("label").alias("last")).where("label = last").select("form", "label")
-    asks = forms.where("sort = 'ask'").select("kind", "name", "form").unionByName(nicked).distinct()
     placed = asks.join(offers, "form").groupBy("kind", "name").agg(F.min("label").alias("label"), F.max("label").alias("last")).where("label = last").select("kind", "name", "label")
+    placed = scratch.keep(placed)
     # a unit or a nickname may have a full form of its own and ask as well: then its whole component moves
     moved = placed.join(by_name.withColumnRenamed("label", "own"), ["kind", "name"], "left")
     alone = asks.join(by_name.select("kind", "name"), ["kind", "name"], "left_anti").join(placed.select("kind", "name"), ["kind", "name"], "left_anti").select("kind", "name", F.concat(F.lit("s"), "form").alias("label"))
